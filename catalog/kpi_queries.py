@@ -9,7 +9,9 @@ from catalog.registry import query
 from heliospark.functions import numbers
 from heliospark.operators import features, kpi
 
-AS_OF = F.lit("1997-10-15").cast("date")
+
+def as_of():
+    return F.expr("DATE'1997-10-15'")
 
 _DAILY_SQL = """
 SELECT *, CASE WHEN predicted_total > 0 THEN actual_total / predicted_total * 100 ELSE 0 END AS performance_ratio,
@@ -141,7 +143,7 @@ def feature_stats(x: Fixture):
 
 
 @query("peak_hour", "A33", """
-SELECT plant_id, date, arg_max(generation_date, (generation_kwh, -epoch(generation_date))) AS peak_time, max(generation_kwh) AS peak_kwh
+SELECT plant_id, date, arg_max(generation_date, (generation_kwh, -epoch(generation_date))) FILTER (generation_kwh IS NOT NULL) AS peak_time, max(generation_kwh) AS peak_kwh
 FROM (SELECT *, CAST(generation_date AS DATE) AS date, max(CAST(generation_date AS DATE)) OVER (PARTITION BY plant_id) AS last FROM scored)
 WHERE date = last GROUP BY 1, 2""", "peak_kwh")
 def peak_hour(x: Fixture):
@@ -220,7 +222,7 @@ FROM fleet f CROSS JOIN (SELECT CAST(unnest(generate_series(DATE '1997-01-01', D
 LEFT JOIN (SELECT plant_id, CAST(generation_date AS DATE) AS date, sum(generation_kwh) AS production FROM history GROUP BY 1, 2) d
   ON d.plant_id = f.plant_id AND d.date = g.date""", "production")
 def production_calendar(x: Fixture):
-    return kpi.production_calendar(x.history, x.fleet, 1997, AS_OF)
+    return kpi.production_calendar(x.history, x.fleet, 1997, as_of())
 
 
 @query("daily_trend", "W3", """

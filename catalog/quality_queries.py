@@ -16,7 +16,8 @@ from heliospark.operators import completeness as quality
 from heliospark.operators import daily
 from heliospark.plans.clean_build import build_clean_dataset
 
-AS_OF = F.lit("2024-03-01 12:00:00").cast("timestamp_ntz")
+def as_of():
+    return F.expr("TIMESTAMP_NTZ'2024-03-01 12:00:00'")
 
 _SUMMARY_SQL = """
 WITH s AS (SELECT plant_id, plant_name, count(*) AS total_hourly_targets, count(*) FILTER (data_available) AS usable_hourly_targets,
@@ -81,7 +82,7 @@ def source_completeness(x: Fixture):
 
 def _completeness_of(x: Fixture, table: str, column: str, bucket: int) -> DataFrame:
     rows = quality_rows(x, table, column)
-    return quality.source_completeness(rows, "utc", bucket, AS_OF)
+    return quality.source_completeness(rows, "utc", bucket, as_of())
 
 
 def quality_rows(x: Fixture, table: str, column: str) -> DataFrame:
@@ -193,7 +194,7 @@ SELECT plant_id, start_date, end_date, negative_values, nighttime_production, to
   largest_gap_hours, days_since_last_data, total_days, CASE WHEN days_since_last_data = 0 THEN 'CURRENT' WHEN days_since_last_data <= 7 THEN 'RECENT'
   WHEN days_since_last_data <= 30 THEN 'STALE' ELSE 'VERY STALE' END AS data_freshness FROM ({_AUDIT_SQL})""", "completeness_pct largest_gap_hours")
 def audit(x: Fixture):
-    return quality.audit(x.audit_rows, AS_OF).drop("total_missing", "night_severity")
+    return quality.audit(x.audit_rows, as_of()).drop("total_missing", "night_severity")
 
 
 _ISSUES_SQL = """
@@ -208,13 +209,13 @@ _NIGHT_SQL = """SELECT plant_id, 'Nighttime Production', '{1}', {2} || '{3}', {2
 @query("audit_issues", "A20", (_ISSUES_SQL + _NIGHT_SQL).format(
     _AUDIT_SQL, "MEDIUM", "nighttime_production", " records with production when sun is below horizon (solar elevation ≤ 0°)"))
 def audit_issues(x: Fixture):
-    return quality.audit_issues(quality.audit(x.audit_rows, AS_OF))
+    return quality.audit_issues(quality.audit(x.audit_rows, as_of()))
 
 
 @query("audit_issues_by_clock", "A20 P7", (_ISSUES_SQL + _NIGHT_SQL).format(
     _AUDIT_SQL, "LOW", "clock_night", " records with production during night hours (20:00-5:00) - approximate check"))
 def audit_issues_by_clock(x: Fixture):
-    return quality.audit_issues(quality.audit(x.audit_rows, AS_OF, by_clock=True))
+    return quality.audit_issues(quality.audit(x.audit_rows, as_of(), by_clock=True))
 
 
 @query("completeness_grid", "A36 F15", """

@@ -35,7 +35,7 @@ def tidy(df: DataFrame) -> DataFrame:
 
 def tidy_sql(body: str, doubles: str) -> str:
     replaced = ", ".join(f"round(CAST({c} AS DOUBLE) + 1e-9, {DIGITS}) AS {c}" for c in doubles.split())
-    inner = f"SELECT * REPLACE ({replaced}) FROM ({body}) q" if replaced else body
+    inner = f"SELECT * REPLACE ({replaced}) FROM ({body}) q" if replaced else f"SELECT * FROM ({body}) q"
     return with_tables(inner)
 
 

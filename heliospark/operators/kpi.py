@@ -140,9 +140,10 @@ def _long(wide: DataFrame, columns: Sequence[str], value: str) -> DataFrame:
 
 
 def peak_hour(df: DataFrame) -> DataFrame:
-    """When the latest day peaked, per plant."""
+    """When the latest day peaked, per plant; the first hour wins a tie."""
+    earliest_best = F.struct(F.col(ACTUAL), -times.epoch_seconds("generation_date"))
     daily = df.groupBy("plant_id", _day()).agg(
-        F.max_by("generation_date", F.struct(F.col(ACTUAL), -times.epoch_seconds("generation_date"))).alias("peak_time"),
+        F.max_by("generation_date", F.when(F.col(ACTUAL).isNotNull(), earliest_best)).alias("peak_time"),
         F.max(ACTUAL).alias("peak_kwh"))
     return daily.groupBy("plant_id").agg(
         F.max("date").alias("date"), F.max_by("peak_time", "date").alias("peak_time"),
