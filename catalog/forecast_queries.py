@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalog.bindings import Fixture
-from catalog.model_queries import PAIR, _ridge_sql, training_features
+from catalog.model_queries import PAIR, _ridge_sql, merged, pair_coefficients
 from catalog.oracle_tables import TABLES, solar_ctes
 from catalog.registry import query
 from heliospark.functions.times import hours
-from heliospark.models import linear
 from heliospark.operators import kpi, outlook
+from heliospark.operators.features import build_features
 from heliospark.plans import dashboard
 from heliospark.operators.cleaning import select_plants
 from heliospark.sources.forecast_payload import flatten_forecast
@@ -54,14 +54,10 @@ SELECT f.*, greatest(0, intercept + w1 * effective_irradiance + w2 * temp) AS pr
 LEFT JOIN ({_ridge_sql('tfeat_day')}) r USING (plant_id) WHERE elevation > 5"""
 
 
-def history(x: Fixture) -> DataFrame:
-    from catalog.model_queries import scored_history
-    return scored_history(x)
-
-
 def forecast(x: Fixture) -> DataFrame:
-    coefficients = linear.fit_fleet_ridge(training_features(x), PAIR)
-    return dashboard.forecast(forecast_weather(x), history(x), x.fleet, PAIR, coefficients)
+    """Forecast with the history's own features; scoring the history is not needed for the lags."""
+    history = build_features(merged(x), x.fleet)
+    return dashboard.forecast(forecast_weather(x), history, x.fleet, PAIR, pair_coefficients(x))
 
 
 @query("upsample_hourly", "W7 J5", f"SELECT plant_id, generation_date, weather_main, weather_description, {', '.join(_NUMBERS)} FROM fc_hourly", " ".join(_NUMBERS))
@@ -73,8 +69,6 @@ def upsample_hourly(x: Fixture):
 SELECT plant_id, generation_date, production_lag_24h, production_lag_168h, production_7d_mean FROM fc_features""",
        "production_lag_24h production_lag_168h production_7d_mean")
 def hour_matched_lags(x: Fixture):
-    from catalog.model_queries import merged
-    from heliospark.operators.features import build_features
     hourly = outlook.upsample_hourly(forecast_weather(x)).select("plant_id", "generation_date")
     return outlook.hour_matched_lags(hourly, build_features(merged(x), x.fleet))
 

@@ -14,6 +14,7 @@ from heliospark.functions import labels
 from heliospark.models import ensembles, evaluation, fleet, linear
 from heliospark.operators import completeness, features, splits
 from heliospark.plans import dashboard, training
+from heliospark.sources.intermediate import materialize
 
 PAIR = ["effective_irradiance", "temp"]
 _WEATHER = "temp visibility rain_1h clouds_all"
@@ -25,8 +26,16 @@ def merged(x: Fixture) -> DataFrame:
 
 
 def training_features(x: Fixture) -> DataFrame:
-    hourly = x.hourly.select("plant_id", "plant_name", "generation_date", "generation_kwh")
-    return training.training_frame(hourly, x.weather, x.agreement, x.fleet)
+    return training.training_frame(_targets(x), x.weather, x.agreement, x.fleet)
+
+
+def _targets(x: Fixture) -> DataFrame:
+    return x.hourly.select("plant_id", "plant_name", "generation_date", "generation_kwh")
+
+
+def pair_coefficients(x: Fixture) -> DataFrame:
+    """The trained fleet model, written as a run would leave it for scoring."""
+    return materialize(linear.fit_fleet_ridge(training_features(x), PAIR), "ridge-coefficients")
 
 
 @query("merge_weather", "J2 W6", f"SELECT plant_id, generation_date, generation_kwh, {_WEATHER.replace(' ', ', ')} FROM merged",
@@ -227,9 +236,7 @@ FROM feat_day f LEFT JOIN ({_ridge_sql('tfeat_day')}) r USING (plant_id)"""
 
 
 def scored_history(x: Fixture) -> DataFrame:
-    coefficients = linear.fit_fleet_ridge(training_features(x), PAIR)
-    hourly = x.hourly.select("plant_id", "plant_name", "generation_date", "generation_kwh")
-    return dashboard.score_history(hourly, x.weather, x.fleet, coefficients, PAIR)
+    return dashboard.score_history(_targets(x), x.weather, x.fleet, pair_coefficients(x), PAIR)
 
 
 @query("score_history", "M11 F13", _SCORED_SQL, "generation_kwh ml_predicted_kwh")
@@ -341,11 +348,11 @@ SMALL_TREES = {"forest": {"numTrees": 20, "maxDepth": 8}, "boosting": {"maxIter"
 
 
 def _train_side(x: Fixture) -> DataFrame:
-    return features.impute_features(training_features(x), config.ALL_FEATURES)
+    return materialize(features.impute_features(training_features(x), config.ALL_FEATURES), "training-rows")
 
 
 def _tree_metrics(x: Fixture, kind: str) -> DataFrame:
-    rows = _train_side(x).persist()
+    rows = _train_side(x)
     model = ensembles.fit(rows, kind, config.ALL_FEATURES, SMALL_TREES[kind])
     scored = ensembles.predict(model, rows).withColumn("model", F.lit(config.MODEL_LABELS[kind]))
     return evaluation.regression_metrics(scored, ("plant_id", "model"))
@@ -384,6 +391,6 @@ def tune_ridge(x: Fixture):
 @query("train_fleet", "M7 M8 M9 L4")
 def train_fleet(x: Fixture):
     """Ridge and a small forest per plant, ranked on the test side."""
-    run = training.train(x.hourly.select("plant_id", "plant_name", "generation_date", "generation_kwh"), x.weather, x.agreement, x.fleet,
+    run = training.train(_targets(x), x.weather, x.agreement, x.fleet,
                          kinds=("ridge", "forest"), params=SMALL_TREES)
     return evaluation.rank_models(fleet.comparison(run)).drop("training_time")

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from heliospark import config
 from heliospark.models.linear import ridge_estimator
 from heliospark.operators.splits import fold_sides, time_series_folds
+from heliospark.sources.intermediate import materialize
 
 PREDICTION = "prediction"
 
@@ -67,22 +68,20 @@ def tune(df: DataFrame, kind: str, features: Sequence[str], grid: dict[str, list
          splits: int = config.CV_SPLITS, target: str = "generation_kwh") -> tuple[PipelineModel, dict[str, Any], list[tuple]]:
     """Pick the grid point with the lowest mean absolute error over expanding folds and refit on all rows.
 
-    Folds are computed once and kept; each fit and each evaluation is a distributed job.
+    Folds are computed once and written; each fit and each evaluation is a distributed job over them.
     """
-    folded = time_series_folds(df, splits).persist()
-    try:
-        judge = RegressionEvaluator(labelCol=target, predictionCol=PREDICTION, metricName="mae")
-        trials = []
-        for params in grid_points(grid, n_iter):
-            errors = []
-            for fold in range(1, splits + 1):
-                train, test = fold_sides(folded, fold)
-                errors.append(judge.evaluate(fit(train, kind, features, params, target).transform(test)))
-            trials.append((params, sum(errors) / splits))
-        best = min(trials, key=lambda trial: trial[1])[0]
-        return fit(folded, kind, features, best, target), best, trials
-    finally:
-        folded.unpersist()
+    columns = ["plant_id", "generation_date", target, *features]
+    folded = materialize(time_series_folds(df.select(*columns), splits), "folds")
+    judge = RegressionEvaluator(labelCol=target, predictionCol=PREDICTION, metricName="mae")
+    trials = []
+    for params in grid_points(grid, n_iter):
+        errors = []
+        for fold in range(1, splits + 1):
+            train, test = fold_sides(folded, fold)
+            errors.append(judge.evaluate(fit(train, kind, features, params, target).transform(test)))
+        trials.append((params, sum(errors) / splits))
+    best = min(trials, key=lambda trial: trial[1])[0]
+    return fit(folded, kind, features, best, target), best, trials
 
 
 def importances(model: PipelineModel, features: Sequence[str], spark, top: int = 15) -> DataFrame:

@@ -15,6 +15,7 @@ from heliospark.models.ensembles import predict, timed_fit, tune
 from heliospark.models.evaluation import regression_metrics
 from heliospark.operators.features import impute_features
 from heliospark.operators.splits import split_train_test
+from heliospark.sources.intermediate import materialize
 
 ALL_MODELS = ("ridge", "forest", "boosting", "subsampled_boosting")
 
@@ -40,37 +41,37 @@ def train_fleet(features: DataFrame, fleet: DataFrame, columns: Sequence[str], k
                 min_test: int = config.MIN_TEST_SAMPLES, split_date=None) -> FleetRun:
     """Fit the requested kinds per plant and evaluate them on the plant's test side.
 
-    Fits are MLlib jobs over one plant's partition of a shared, persisted frame. With ``grids`` each
-    kind is tuned first.
+    The training rows are written once, laid out by plant, so each MLlib fit reads only its plant.
+    With ``grids`` each kind is tuned first. The driver loops over plants: for fleets of thousands use
+    ``fit_fleet_ridge``, which fits all plants in one job.
     """
     run = FleetRun()
     chosen = fleet.where("reliable") if reliable_only else fleet
-    rows = training_rows(features, fleet, columns, min_test, split_date).persist()
+    needed = ["plant_id", "generation_date", "generation_kwh", *columns]
+    rows = training_rows(features.select(*needed), fleet, columns, min_test, split_date)
+    rows = materialize(rows, "training-rows", ["plant_id"])
     scored = []
-    try:
-        for (plant_id,) in chosen.select("plant_id").collect():
-            mine = rows.where(F.col("plant_id") == plant_id)
-            train = mine.where(F.col("split") == "train")
-            try:
-                for kind in kinds:
-                    given = (params or {}).get(kind)
-                    if grids and kind in grids:
-                        iterations = None if kind == "ridge" else n_iter
-                        _, given, _ = tune(train, kind, columns, grids[kind], iterations)
-                    model, seconds = timed_fit(train, kind, columns, given)
-                    run.models[plant_id, kind] = model
-                    run.params[plant_id, kind] = given or {}
-                    scored.append(predict(model, mine).select(
-                        "plant_id", "split", "generation_kwh", "prediction",
-                        F.lit(config.MODEL_LABELS[kind]).alias("model"), F.lit(seconds).alias("training_time")))
-            except Exception as error:  # noqa: BLE001 - one plant must not stop the fleet
-                run.failures[plant_id] = str(error)
-        if scored:
-            all_rows = reduce(DataFrame.unionByName, scored)
-            metrics = regression_metrics(all_rows, ("plant_id", "model", "split", "training_time"))
-            run.metrics = metrics.sparkSession.createDataFrame(metrics.collect(), metrics.schema)
-    finally:
-        rows.unpersist()
+    for (plant_id,) in chosen.select("plant_id").collect():
+        mine = rows.where(F.col("plant_id") == plant_id)
+        train = mine.where(F.col("split") == "train")
+        try:
+            for kind in kinds:
+                given = (params or {}).get(kind)
+                if grids and kind in grids:
+                    iterations = None if kind == "ridge" else n_iter
+                    _, given, _ = tune(train, kind, columns, grids[kind], iterations)
+                model, seconds = timed_fit(train, kind, columns, given)
+                run.models[plant_id, kind] = model
+                run.params[plant_id, kind] = given or {}
+                scored.append(predict(model, mine).select(
+                    "plant_id", "split", "generation_kwh", "prediction",
+                    F.lit(config.MODEL_LABELS[kind]).alias("model"), F.lit(seconds).alias("training_time")))
+        except Exception as error:  # noqa: BLE001 - one plant must not stop the fleet
+            run.failures[plant_id] = str(error)
+    if scored:
+        all_rows = reduce(DataFrame.unionByName, scored)
+        run.metrics = materialize(
+            regression_metrics(all_rows, ("plant_id", "model", "split", "training_time")), "model-metrics")
     return run
 
 

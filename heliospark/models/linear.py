@@ -33,7 +33,8 @@ def fit_fleet_ridge(df: DataFrame, features: Sequence[str], alpha: float = confi
 
     Each task reduces its rows to one Gram matrix per plant it meets; the matrices are added cell by
     cell with map-side combine, and only the small systems are solved per plant. The number of plants
-    is not limited by the driver, nor is the size of any one plant.
+    is not limited by the driver, nor is the size of any one plant. Rows with a missing value are
+    left out.
     """
     features = list(features)
     size = len(features) + 2
@@ -44,6 +45,7 @@ def fit_fleet_ridge(df: DataFrame, features: Sequence[str], alpha: float = confi
         for batch in batches:
             for plant, rows in batch.groupby("plant_id"):
                 z = np.column_stack([np.ones(len(rows)), rows[features + [target]].to_numpy(float)])
+                z = z[~np.isnan(z).any(axis=1)]
                 cells = (z.T @ z)[upper]
                 held[plant] = held[plant] + cells if plant in held else cells
             if len(held) >= _FLUSH_PLANTS:
@@ -64,7 +66,7 @@ def fit_fleet_ridge(df: DataFrame, features: Sequence[str], alpha: float = confi
         g = np.zeros((size, size))
         g[upper] = cells.sort_values("cell")["value"].to_numpy()
         g = g + np.triu(g, 1).T
-        n = g[0, 0]
+        n = max(g[0, 0], 1.0)
         mean = g[0] / n
         centred = g - n * np.outer(mean, mean)
         xx, xy = centred[1:-1, 1:-1], centred[1:-1, -1]
@@ -73,7 +75,7 @@ def fit_fleet_ridge(df: DataFrame, features: Sequence[str], alpha: float = confi
             "plant_id": [cells["plant_id"].iloc[0]], "n": [int(round(n))],
             "intercept": [mean[-1] - mean[1:-1] @ weights], "coefficients": [weights.tolist()]})
 
-    rows = df.select("plant_id", *[F.col(c).cast("double").alias(c) for c in [*features, target]]).dropna()
+    rows = df.select("plant_id", *[F.col(c).cast("double").alias(c) for c in [*features, target]])
     parts = rows.mapInPandas(gram, "plant_id long, cell int, value double")
     summed = parts.groupBy("plant_id", "cell").agg(F.sum("value").alias("value"))
     return summed.groupBy("plant_id").applyInPandas(

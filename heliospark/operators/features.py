@@ -134,7 +134,7 @@ def filter_daytime(df: DataFrame, min_elevation: float = config.MIN_SUN_ELEVATIO
 
 
 def drop_null_target(df: DataFrame, target: str = "generation_kwh") -> DataFrame:
-    return df.dropna(subset=[target])
+    return df.where(F.col(target).isNotNull())
 
 
 def add_solar(df: DataFrame, plants: DataFrame, ts: str = "generation_date",
