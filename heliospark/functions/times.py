@@ -29,10 +29,13 @@ def utc_to_local(df: DataFrame, name: str, tz: str = TIMEZONE) -> Column:
     elif isinstance(kind, T.TimestampType):
         utc = _wall_clock(c)
     else:
-        c = f"trim({c})"
+        # Regular expressions only run on the rare spellings that carry a zone.
+        clock = f"substr({c}, 11)"
+        marked = " OR ".join(f"contains({clock}, '{mark}')" for mark in ("+", "-", "Z", "UTC"))
         zoned = _wall_clock(f"try_to_timestamp(regexp_replace({c}, r'{_OFFSET}', '$1:$2'))")
-        plain = rf"try_cast(regexp_replace({c}, r'\s*(UTC|Z)$', '') AS TIMESTAMP_NTZ)"
-        utc = f"CASE WHEN {c} RLIKE r'{_OFFSET}' THEN {zoned} ELSE {plain} END"
+        named = rf"try_cast(regexp_replace({c}, r'\s*(UTC|Z)$', '') AS TIMESTAMP_NTZ)"
+        utc = (f"CASE WHEN NOT ({marked}) THEN try_cast({c} AS TIMESTAMP_NTZ)"
+               f" WHEN {c} RLIKE r'{_OFFSET}' THEN {zoned} ELSE {named} END")
     return F.expr(f"convert_timezone('UTC', '{tz}', {utc})")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from heliospark import config
@@ -62,28 +62,33 @@ def parse_generation(df: DataFrame, plants: DataFrame, tz: str = config.TIMEZONE
     )
 
 
-def clean_generation(df: DataFrame, plants: DataFrame, tz: str = config.TIMEZONE) -> DataFrame:
-    """Clean the interval log: readable, non-negative, one row per plant and timestamp, Wh and kWh.
+def last_amounts(df: DataFrame, plants: DataFrame, usable: Column, tz: str = config.TIMEZONE) -> DataFrame:
+    """The last usable amount per plant and timestamp: plant_id, generation_date, amount, copies.
 
-    Only fixed-width values enter the aggregate, so it stays a hash aggregate with map-side combine.
+    Unusable rows are left out inside the aggregate. A filter in front of it would be pushed to the
+    scan and parse every text twice. Only fixed-width values enter the aggregate, so it stays a hash
+    aggregate with map-side combine, and copies of one timestamp are reduced before the shuffle.
     """
-    rows = parse_generation(df, plants, tz).where(
-        F.col("generation_date").isNotNull() & (F.col("amount") >= 0))
+    valid = usable & F.col("generation_date").isNotNull()
+    rows = parse_generation(df, plants, tz).withColumn("_seq", F.when(valid, F.col("ingest_seq")))
     last = rows.groupBy("plant_id", "generation_date").agg(
-        F.max_by("amount", "ingest_seq").alias("generation_amount_wh"),
-        (F.count(F.lit(1)) - 1).alias("duplicate_rows_removed_for_same_plant_timestamp"))
+        F.max_by("amount", "_seq").alias("amount"), F.count("_seq").alias("copies"))
+    return last.where(F.col("copies") > 0)
+
+
+def clean_generation(df: DataFrame, plants: DataFrame, tz: str = config.TIMEZONE) -> DataFrame:
+    """Clean the interval log: readable, non-negative, one row per plant and timestamp, Wh and kWh."""
+    last = last_amounts(df, plants, F.col("amount") >= 0, tz)
     return with_plant_name(last, plants).select(
-        "plant_id", "plant_name", "generation_date", "generation_amount_wh",
-        (F.col("generation_amount_wh") / 1000).alias("generation_kwh"),
-        F.lit(False).alias("is_negative_generation"),
-        "duplicate_rows_removed_for_same_plant_timestamp")
+        "plant_id", "plant_name", "generation_date", F.col("amount").alias("generation_amount_wh"),
+        (F.col("amount") / 1000).alias("generation_kwh"), F.lit(False).alias("is_negative_generation"),
+        (F.col("copies") - 1).alias("duplicate_rows_removed_for_same_plant_timestamp"))
 
 
 def audit_rows(df: DataFrame, plants: DataFrame, tz: str = config.TIMEZONE) -> DataFrame:
     """Deduplicated rows for auditing: negatives and unreadable amounts are kept."""
-    rows = parse_generation(df, plants, tz).where(F.col("generation_date").isNotNull())
-    return rows.groupBy("plant_id", "generation_date").agg(
-        (F.max_by("amount", "ingest_seq") / 1000).alias("generation_kwh"))
+    last = last_amounts(df, plants, F.lit(True), tz)
+    return last.select("plant_id", "generation_date", (F.col("amount") / 1000).alias("generation_kwh"))
 
 
 def duplicate_audit(df: DataFrame, plants: DataFrame, tz: str = config.TIMEZONE) -> DataFrame:

@@ -1,7 +1,8 @@
 """Daily totals per source and how the sources agree.
 
-Long form of a daily source: ``plant_id, date, source, kwh, records``; rows may still be split over
-several partial rows per day, they add up when the sources are aligned.
+Long form of a daily source: ``plant_id, date, source, kwh, records``; a day may be split over several
+partial rows, they add up when the sources are aligned. Unreadable rows carry NULL records and vanish
+there: filtering them first would push the parsing into the scan's filter and do it twice.
 """
 
 from __future__ import annotations
@@ -23,12 +24,12 @@ METER_COLUMNS = ["plant_id", "meter_id", "meter_reading", "date"]
 def daily_log_rows(df: DataFrame, plants: DataFrame, source: str, divisor: float, shift_days: int = 0,
                    tz: str = config.TIMEZONE) -> DataFrame:
     """Rows of a generation log in long form, one per record; negatives and copies are kept."""
-    local = utc_to_local(df, "generation_date", tz)
-    rows = select_plants(df, plants).select(
-        "plant_id", F.date_add(local.cast("date"), shift_days).alias("date"),
-        F.lit(source).alias("source"),
-        (numeric_amount("generation_amount") / divisor).alias("kwh"), F.lit(1).cast("long").alias("records"))
-    return rows.where(F.col("date").isNotNull() & F.col("kwh").isNotNull())
+    parsed = select_plants(df, plants).select(
+        "plant_id", F.date_add(utc_to_local(df, "generation_date", tz).cast("date"), shift_days).alias("date"),
+        (numeric_amount("generation_amount") / divisor).alias("kwh"))
+    readable = F.col("date").isNotNull() & F.col("kwh").isNotNull()
+    return parsed.select("plant_id", "date", F.lit(source).alias("source"), "kwh",
+                         F.when(readable, F.lit(1)).cast("long").alias("records"))
 
 
 def daily_log(df: DataFrame, plants: DataFrame, source: str, divisor: float, shift_days: int = 0) -> DataFrame:
@@ -46,11 +47,12 @@ def daily_meter(df: DataFrame, plants: DataFrame, source: str, chunk_minutes: in
     than one chunk, or one summary row per chunk of the calendar.
     """
     local = utc_to_local(df, "date", tz)
-    readings = select_plants(df, plants).select(
-        "plant_id", "meter_id", local.alias("ts"), numeric("meter_reading").alias("reading"),
-    ).where(F.col("ts").isNotNull() & F.col("reading").isNotNull() & F.col("meter_id").isNotNull())
+    readings = select_plants(df, plants).where(F.col("meter_id").isNotNull()).select(
+        "plant_id", "meter_id", local.alias("ts"), numeric("meter_reading").alias("reading"))
+    readings = readings.withColumn("reading", F.when(F.col("ts").isNotNull(), F.col("reading")))
     instants = readings.groupBy("plant_id", "meter_id", floor_bucket("ts", chunk_minutes).alias("chunk"), "ts").agg(
-        F.min("reading").alias("first"), F.max("reading").alias("last"), F.count(F.lit(1)).alias("n"))
+        F.min("reading").alias("first"), F.max("reading").alias("last"), F.count("reading").alias("n"),
+    ).where(F.col("n") > 0)
 
     inside = Window.partitionBy("plant_id", "meter_id", "chunk").orderBy("ts")
     step = F.col("first") - F.lag("last").over(inside)
@@ -74,8 +76,9 @@ def daily_meter(df: DataFrame, plants: DataFrame, source: str, chunk_minutes: in
 
 
 def _add_up(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("plant_id", "date", "source").agg(
-        F.sum("kwh").alias("kwh"), F.sum("records").alias("records"))
+    totals = rows.groupBy("plant_id", "date", "source").agg(
+        F.sum(F.when(F.col("records").isNotNull(), F.col("kwh"))).alias("kwh"), F.sum("records").alias("records"))
+    return totals.where(F.col("records").isNotNull())
 
 
 def align_daily_sources(parts: list[DataFrame], sources: list[str] | None = None) -> DataFrame:
@@ -86,10 +89,11 @@ def align_daily_sources(parts: list[DataFrame], sources: list[str] | None = None
     """
     sources = config.DAILY_SOURCES if sources is None else sources
     rows = reduce(DataFrame.unionByName, parts)
-    here = {s: F.col("source") == s for s in sources}
+    here = {s: (F.col("source") == s) & F.col("records").isNotNull() for s in sources}
     aligned = rows.groupBy("plant_id", "date").agg(
         *[F.sum(F.when(here[s], F.col("kwh"))).alias(s) for s in sources],
-        *[F.sum(F.when(here[s], F.col("records"))).alias(f"{s}_records") for s in sources])
+        *[F.sum(F.when(here[s], F.col("records"))).alias(f"{s}_records") for s in sources],
+        F.count("records").alias("_usable")).where(F.col("_usable") > 0)
     return aligned.select("plant_id", "date", *[c for s in sources for c in (s, f"{s}_records")])
 
 

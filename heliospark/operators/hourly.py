@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from heliospark import config
 from heliospark.functions.times import days, floor_bucket, minutes
-from heliospark.operators.cleaning import parse_generation, with_plant_name
+from heliospark.operators.cleaning import last_amounts, parse_generation, with_plant_name
 
 
 def fill_gaps(df: DataFrame, keys: Sequence[str], ts: str, step: Column) -> DataFrame:
@@ -72,8 +72,8 @@ def hourly_source_diagnostics(five: DataFrame, hourly: DataFrame, plants: DataFr
                               min_pct: float = config.MIN_HOURLY_COMPLETENESS_PCT) -> DataFrame:
     """Candidate target per hour: the 5-minute sum, else the hourly log, with agreement flags."""
     readable = F.col("generation_date").isNotNull() & F.col("amount").isNotNull()
-    five_rows = parse_generation(five, plants).where(readable).groupBy("plant_id", "generation_date").agg(
-        (F.max_by("amount", "ingest_seq") / 1000).alias("kwh"))
+    five_rows = last_amounts(five, plants, F.col("amount").isNotNull()).select(
+        "plant_id", "generation_date", (F.col("amount") / 1000).alias("kwh"))
     five_hourly = fill_gaps(
         five_rows.groupBy("plant_id", floor_bucket("generation_date", 60).alias("generation_date")).agg(
             F.sum("kwh").alias("generation_kwh_5min_raw"), F.count("kwh").alias("records_collected_5min")),
