@@ -93,8 +93,8 @@ def audit_rows(df: DataFrame, plants: DataFrame, tz: str = config.TIMEZONE) -> D
 
 def duplicate_audit(df: DataFrame, plants: DataFrame, tz: str = config.TIMEZONE) -> DataFrame:
     """Per plant: rows, members of duplicated timestamps, rows a deduplication removes."""
-    rows = parse_generation(df, plants, tz).where(F.col("generation_date").isNotNull())
-    copies = rows.groupBy("plant_id", "generation_date").agg(F.count(F.lit(1)).alias("n"))
+    copies = parse_generation(df, plants, tz).groupBy("plant_id", "generation_date").agg(
+        F.count("generation_date").alias("n")).where(F.col("n") > 0)
     return copies.groupBy("plant_id").agg(
         F.sum("n").alias("total_rows"),
         F.sum(F.when(F.col("n") > 1, F.col("n")).otherwise(0)).alias("duplicated_rows"),

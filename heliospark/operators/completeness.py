@@ -52,17 +52,27 @@ def range_completeness(rows: DataFrame, step_minutes: int = 5) -> DataFrame:
     The grid starts at the first timestamp. Rows are counted per phase within the step; the phase that
     holds the first timestamp is the one on the grid, so one aggregate cascade answers it.
     """
+    return _range_columns(_by_phase(rows, step_minutes, {}), step_minutes)
+
+
+def _by_phase(rows: DataFrame, step_minutes: int, sums: dict[str, Column]) -> DataFrame:
+    """Per plant: first and last timestamp, records on the grid, and further sums over all rows."""
     step = step_minutes * 60 * times.MICROS_PER_SECOND
-    micros = times.epoch_micros("generation_date")
-    phases = rows.select("plant_id", micros.alias("us"), "generation_kwh").groupBy(
-        "plant_id", (F.col("us") % step).alias("phase")).agg(
-        F.count("generation_kwh").alias("n"), F.min("us").alias("lo"), F.max("us").alias("hi"))
-    spans = phases.groupBy("plant_id").agg(
-        F.min_by("n", "lo").alias("total_collected"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    expected = F.floor((F.col("hi") - F.col("lo")) / step) + 1
-    return spans.select(
-        "plant_id", expected.cast("long").alias("total_expected"), "total_collected",
-    ).withColumns({
+    phases = rows.withColumn("_us", times.epoch_micros("generation_date")).groupBy(
+        "plant_id", (F.col("_us") % step).alias("_phase")).agg(
+        F.count("generation_kwh").alias("_n"), F.min("_us").alias("_lo"), F.max("_us").alias("_hi"),
+        F.min("generation_date").alias("start_date"), F.max("generation_date").alias("end_date"),
+        *[expr.alias(name) for name, expr in sums.items()])
+    return phases.groupBy("plant_id").agg(
+        F.min_by("_n", "_lo").alias("total_collected"), F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"),
+        F.min("start_date").alias("start_date"), F.max("end_date").alias("end_date"),
+        *[F.sum(name).alias(name) for name in sums])
+
+
+def _range_columns(spans: DataFrame, step_minutes: int, *carried: str) -> DataFrame:
+    step = step_minutes * 60 * times.MICROS_PER_SECOND
+    expected = (F.floor((F.col("_hi") - F.col("_lo")) / step) + 1).cast("long")
+    return spans.select("plant_id", *carried, expected.alias("total_expected"), "total_collected").withColumns({
         "total_missing": F.col("total_expected") - F.col("total_collected"),
         "completeness_pct": F.col("total_collected") / F.col("total_expected") * 100,
     })
@@ -104,13 +114,10 @@ def audit(rows: DataFrame, as_of: Column, by_clock: bool = False) -> DataFrame:
         lit, night = rows, (hour >= 20) | (hour < 5)
     else:
         lit, night = with_solar_position(rows), F.col("elevation") <= 0
-    stats = lit.groupBy("plant_id").agg(
-        F.min("generation_date").alias("start_date"), F.max("generation_date").alias("end_date"),
-        F.count_if(kwh < 0).alias("negative_values"),
-        F.count_if(night & (kwh > 0.1)).alias("nighttime_production"))
+    counts = {"negative_values": F.count_if(kwh < 0), "nighttime_production": F.count_if(night & (kwh > 0.1))}
+    stats = _range_columns(_by_phase(lit, 5, counts), 5, "start_date", "end_date", *counts)
     since = times.whole_days(F.col("end_date"), as_of)
-    return (stats.join(range_completeness(rows), "plant_id").join(timestamp_gaps(rows), "plant_id")
-            .withColumn("days_since_last_data", since)
+    return (stats.join(timestamp_gaps(rows), "plant_id").withColumn("days_since_last_data", since)
             .withColumns({
                 "total_days": times.whole_days(F.col("start_date"), F.col("end_date")) + 1,
                 "data_freshness": labels.audit_freshness(F.col("days_since_last_data")),
