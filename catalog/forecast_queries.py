@@ -50,7 +50,7 @@ SELECT s.*, coalesce(p.lag24, 0) AS production_lag_24h, coalesce(p.lag168, 0) AS
 FROM fc_sun s LEFT JOIN fc_profile p ON p.plant_id = s.plant_id AND p.h = hour(s.generation_date)
 LEFT JOIN (SELECT plant_id, avg(generation_kwh) AS m FROM fc_recent WHERE generation_kwh > 0 GROUP BY 1) d ON d.plant_id = s.plant_id"""
 TABLES["fc_out"] = f"""
-SELECT f.*, greatest(0, intercept + w1 * effective_irradiance + w2 * temp) AS predicted_kwh FROM fc_features f
+SELECT f.*, CASE WHEN intercept IS NOT NULL THEN greatest(0, intercept + w1 * effective_irradiance + w2 * temp) END AS predicted_kwh FROM fc_features f
 LEFT JOIN ({_ridge_sql('tfeat_day')}) r USING (plant_id) WHERE elevation > 5"""
 
 

@@ -231,7 +231,7 @@ def ranked_coefficients(x: Fixture):
 
 
 _SCORED_SQL = f"""
-SELECT f.plant_id, f.generation_date, f.generation_kwh, greatest(0, intercept + w1 * effective_irradiance + w2 * temp) AS ml_predicted_kwh
+SELECT f.plant_id, f.generation_date, f.generation_kwh, CASE WHEN intercept IS NULL THEN f.generation_kwh ELSE greatest(0, intercept + w1 * effective_irradiance + w2 * temp) END AS ml_predicted_kwh
 FROM feat_day f LEFT JOIN ({_ridge_sql('tfeat_day')}) r USING (plant_id)"""
 
 

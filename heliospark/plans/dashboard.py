@@ -28,14 +28,15 @@ def scoring_frame(hourly: DataFrame, weather: DataFrame, fleet: DataFrame, colum
 
 def score_history(hourly: DataFrame, weather: DataFrame, fleet: DataFrame, coefficients: DataFrame | None = None,
                   columns: list[str] | None = None, model: PipelineModel | None = None) -> DataFrame:
-    """History with non-negative predictions; without any model the actual value stands in."""
+    """History with non-negative predictions; where a plant has no model the actual value stands in."""
     columns = columns or config.ALL_FEATURES
     if coefficients is None and model is None:
         return hourly.withColumn("ml_predicted_kwh", F.col("generation_kwh"))
     rows = scoring_frame(hourly, weather, fleet, columns)
     if model is not None:
         return predict(model, rows, "ml_predicted_kwh").withColumn("ml_predicted_kwh", non_negative("ml_predicted_kwh"))
-    return score_fleet_ridge(rows, coefficients, columns)
+    scored = score_fleet_ridge(rows, coefficients, columns)
+    return scored.withColumn("ml_predicted_kwh", F.coalesce("ml_predicted_kwh", "generation_kwh"))
 
 
 def forecast(weather: DataFrame, history: DataFrame | None, fleet: DataFrame, columns: list[str],
