@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from catalog.bindings import EXPECTED, Fixture
@@ -10,8 +12,9 @@ from heliospark import config
 from heliospark.functions import labels, numbers, times
 from heliospark.operators import cleaning, daily, hourly
 from heliospark.plans import clean_build
-from heliospark.sources import tables, weather
+from heliospark.sources import sinks, tables, weather
 from heliospark.sources.forecast_payload import flatten_forecast
+from heliospark.sources.intermediate import shared_folder
 
 
 @query("scan_declared_schema", "S1", """
@@ -160,6 +163,16 @@ def hourly_targets(x: Fixture):
     return x.hourly
 
 
+@query("clean_tables_round_trip", "S6", """
+SELECT plant_id, generation_date, generation_kwh, records_collected, data_available FROM hourly""", "generation_kwh")
+def clean_tables_round_trip(x: Fixture):
+    """Hourly targets as written to and read back from the clean folder."""
+    folder = f"{shared_folder(x.spark)}/clean-{uuid.uuid4().hex}"
+    sinks.write_clean({"hourly_model_targets": x.hourly, "plants_clean": x.fleet}, folder)
+    back = sinks.read_clean(x.spark, folder, "hourly_model_targets")
+    return back.selectExpr("CAST(plant_id AS BIGINT) AS plant_id", "generation_date", "generation_kwh", "records_collected", "data_available")
+
+
 @query("daily_log", "A2", """
 SELECT plant_id, date, 'five_min_kwh' AS source, kwh, records FROM log_days WHERE source = 'five'""", "kwh")
 def daily_log(x: Fixture):

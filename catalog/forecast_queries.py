@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalog.bindings import Fixture
-from catalog.model_queries import PAIR, _ridge_sql, merged, pair_coefficients
+from catalog.model_queries import PAIR, _ridge_sql, forest_model, merged, pair_coefficients
 from catalog.oracle_tables import TABLES, solar_ctes
 from catalog.registry import query
+from heliospark import config
 from heliospark.functions.times import hours
 from heliospark.operators import kpi, outlook
 from heliospark.operators.features import build_features
@@ -157,6 +158,13 @@ def outlook_replay(x: Fixture):
     return outlook.outlook_weather(weather_outlook(x.weather_raw), x.hourly, F.expr("TIMESTAMP_NTZ'2024-01-25 00:00:00'"))
 
 
+@query("outlook_uses_scenario", "A35", "SELECT *, false AS is_replay FROM (" + _SCENARIO_SQL.format(_bucket_sql("timestamp >= TIMESTAMP '2024-01-12'")) + ")", " ".join(_3H))
+def outlook_scenario(x: Fixture):
+    """Production known up to a cut-off, weather beyond it."""
+    known = x.hourly.where("generation_date < TIMESTAMP_NTZ'2024-01-12 00:00:00'")
+    return outlook.outlook_weather(weather_outlook(x.weather_raw), known, F.expr("TIMESTAMP_NTZ'2024-01-25 00:00:00'"))
+
+
 @query("weather_for_plants", "A35 U1", f"""
 SELECT plant_id, q.* RENAME (timestamp AS generation_date) FROM fleet CROSS JOIN ({_REPLAY_SQL}) q""", " ".join(_3H))
 def weather_for_plants(x: Fixture):
@@ -198,3 +206,11 @@ FROM a LEFT JOIN p USING (plant_id, date)""", _SUMMARY_DOUBLES)
 def weather_daily_summary_replay(x: Fixture):
     ahead = forecast_weather(x).withColumn("predicted_kwh", F.col("temp"))
     return outlook.weather_daily_summary(ahead, x.scored, x.weather, replay=True)
+
+
+@query("forecast_forest", "M12 M3")
+def forecast_forest(x: Fixture):
+    """Forecast by an MLlib model over all features."""
+    history = build_features(merged(x), x.fleet)
+    ahead = dashboard.forecast(forecast_weather(x), history, x.fleet, config.ALL_FEATURES, model=forest_model(x))
+    return ahead.select("plant_id", "generation_date", "predicted_kwh")

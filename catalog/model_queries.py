@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +15,8 @@ from heliospark.functions import labels
 from heliospark.models import ensembles, evaluation, fleet, linear
 from heliospark.operators import completeness, features, splits
 from heliospark.plans import dashboard, training
-from heliospark.sources.intermediate import materialize
+from heliospark.sources import sinks
+from heliospark.sources.intermediate import materialize, shared_folder
 
 PAIR = ["effective_irradiance", "temp"]
 _WEATHER = "temp visibility rain_1h clouds_all"
@@ -212,7 +214,7 @@ SELECT w AS coefficient, my - w * mx AS intercept FROM (SELECT covar_pop(clearsk
 def ridge_single_fit(x: Fixture):
     rows = x.history.where("generation_kwh IS NOT NULL")
     model = ensembles.fit(rows, "ridge", ["clearsky_expected_kwh"]).stages[-1]
-    return rows.limit(1).select(F.lit(float(model.coefficients[0])).alias("coefficient"), F.lit(float(model.intercept)).alias("intercept"))
+    return x.spark.createDataFrame([(float(model.coefficients[0]), float(model.intercept))], "coefficient double, intercept double")
 
 
 @query("fleet_ridge_all_features", "M2 M7 M15")
@@ -342,6 +344,14 @@ def residual_anomalies(x: Fixture):
     return evaluation.residual_anomalies(x.history).select("plant_id", "generation_date", "residual", "threshold")
 
 
+@query("registry_round_trip", "S7", f"SELECT * FROM ({_METRICS_SQL}) WHERE split = 'test'", "mae rmse r2 wape")
+def registry_round_trip(x: Fixture):
+    """Metrics of a run as saved in and read back from its registry."""
+    folder = f"{shared_folder(x.spark)}/run-{uuid.uuid4().hex}"
+    sinks.save_run({}, metrics(x).where("split = 'test'"), folder, x.fleet, config.ALL_FEATURES)
+    return sinks.load_registry(x.spark, folder)
+
+
 # Tree queries below train small ensembles; the library defaults are the full-size ones.
 SMALL_TREES = {"forest": {"numTrees": 20, "maxDepth": 8}, "boosting": {"maxIter": 8, "maxDepth": 4},
                "subsampled_boosting": {"maxIter": 8, "maxDepth": 4}}
@@ -394,3 +404,14 @@ def train_fleet(x: Fixture):
     run = training.train(_targets(x), x.weather, x.agreement, x.fleet,
                          kinds=("ridge", "forest"), params=SMALL_TREES)
     return evaluation.rank_models(fleet.comparison(run)).drop("training_time")
+
+
+def forest_model(x: Fixture):
+    return ensembles.fit(_train_side(x), "forest", config.ALL_FEATURES, SMALL_TREES["forest"])
+
+
+@query("score_history_forest", "M11 M3")
+def score_history_forest(x: Fixture):
+    """History scored by an MLlib model over all features."""
+    scored = dashboard.score_history(_targets(x), x.weather, x.fleet, columns=config.ALL_FEATURES, model=forest_model(x))
+    return scored.select("plant_id", "generation_date", "generation_kwh", "ml_predicted_kwh")

@@ -6,7 +6,8 @@ from catalog import REGISTRY
 from compare import compare
 
 HEAVY = {"random_forest", "gradient_boosting", "subsampled_boosting", "tree_importances", "tune_ridge", "train_fleet",
-         "forecast_totals", "quality_cards_fallback", "score_bands", "clean_build_summary"}
+         "forecast_totals", "quality_cards_fallback", "score_bands", "clean_build_summary",
+         "score_history_forest", "forecast_forest"}
 PYTHON_TASKS = {"fleet_ridge", "fleet_ridge_all_features", "ranked_coefficients", "score_history", "forecast_ridge"}
 
 
