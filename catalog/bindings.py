@@ -17,6 +17,7 @@ from heliospark.operators.cleaning import audit_rows, clean_generation
 from heliospark.operators.daily import daily_agreement
 from heliospark.operators.hourly import hourly_targets
 from heliospark.plans.clean_build import aligned_sources
+from heliospark.sources.intermediate import materialize
 from heliospark.sources.tables import read_table
 from heliospark.sources.weather import clean_weather
 
@@ -169,3 +170,9 @@ class Fixture:
     @functools.cached_property
     def audit_rows(self) -> DataFrame:
         return audit_rows(self.generation_5min, self.fleet)
+
+    def with_clean_tables(self) -> Fixture:
+        """Use written clean tables from here on, for jobs that read them more than once."""
+        self.hourly = materialize(self.hourly, "hourly-targets")
+        self.weather = materialize(self.weather, "weather")
+        return self

@@ -57,6 +57,7 @@ LEFT JOIN ({_ridge_sql('tfeat_day')}) r USING (plant_id) WHERE elevation > 5"""
 
 def forecast(x: Fixture) -> DataFrame:
     """Forecast with the history's own features; scoring the history is not needed for the lags."""
+    x = x.with_clean_tables()
     history = build_features(merged(x), x.fleet)
     return dashboard.forecast(forecast_weather(x), history, x.fleet, PAIR, pair_coefficients(x))
 
@@ -211,6 +212,7 @@ def weather_daily_summary_replay(x: Fixture):
 @query("forecast_forest", "M12 M3")
 def forecast_forest(x: Fixture):
     """Forecast by an MLlib model over all features."""
+    x = x.with_clean_tables()
     history = build_features(merged(x), x.fleet)
     ahead = dashboard.forecast(forecast_weather(x), history, x.fleet, config.ALL_FEATURES, model=forest_model(x))
     return ahead.select("plant_id", "generation_date", "predicted_kwh")

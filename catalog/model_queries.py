@@ -238,6 +238,7 @@ FROM feat_day f LEFT JOIN ({_ridge_sql('tfeat_day')}) r USING (plant_id)"""
 
 
 def scored_history(x: Fixture) -> DataFrame:
+    x = x.with_clean_tables()
     return dashboard.score_history(_targets(x), x.weather, x.fleet, pair_coefficients(x), PAIR)
 
 
@@ -413,5 +414,6 @@ def forest_model(x: Fixture):
 @query("score_history_forest", "M11 M3")
 def score_history_forest(x: Fixture):
     """History scored by an MLlib model over all features."""
+    x = x.with_clean_tables()
     scored = dashboard.score_history(_targets(x), x.weather, x.fleet, columns=config.ALL_FEATURES, model=forest_model(x))
     return scored.select("plant_id", "generation_date", "generation_kwh", "ml_predicted_kwh")
