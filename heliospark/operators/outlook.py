@@ -94,16 +94,24 @@ def hour_profile(history: DataFrame, target: str = "generation_kwh") -> DataFram
 
 
 def hour_matched_lags(forecast: DataFrame, history: DataFrame | None, target: str = "generation_kwh") -> DataFrame:
-    """Give forecast hours the lags of the same hour in history; 0 where no hour matches."""
+    """Give forecast hours the lags of the same hour in history; 0 where no hour matches.
+
+    The profile of a plant is a map of at most 24 hours, so history is read once and joined once.
+    """
     if history is None:
         return forecast.withColumns({c: F.lit(v) for c, v in DEFAULT_LAGS.items()})
-    profile = hour_profile(history, target)
-    means = profile.groupBy("plant_id").agg(
+    by_hour = F.map_from_entries(F.collect_list(
+        F.struct("hour", F.struct("production_lag_24h", "production_lag_168h"))))
+    plants = hour_profile(history, target).groupBy("plant_id").agg(
+        by_hour.alias("_by_hour"),
         F.try_divide(F.sum("positive_sum"), F.sum("positive_n")).alias("production_7d_mean"))
-    lags = profile.select("plant_id", F.col("hour").alias("_hour"), "production_lag_24h", "production_lag_168h")
-    out = forecast.withColumn("_hour", F.hour("generation_date")).join(lags, ["plant_id", "_hour"], "left").join(
-        means, "plant_id", "left").drop("_hour")
-    return out.withColumns({c: F.coalesce(c, F.lit(0.0)) for c in DEFAULT_LAGS})
+    out = forecast.join(plants, "plant_id", "left")
+    same_hour = F.try_element_at("_by_hour", F.hour("generation_date"))
+    return out.withColumns({
+        "production_lag_24h": F.coalesce(same_hour["production_lag_24h"], F.lit(0.0)),
+        "production_lag_168h": F.coalesce(same_hour["production_lag_168h"], F.lit(0.0)),
+        "production_7d_mean": F.coalesce("production_7d_mean", F.lit(0.0)),
+    }).drop("_by_hour")
 
 
 def expanding_temp_mean(df: DataFrame) -> DataFrame:
