@@ -18,24 +18,26 @@ SCHEMAS = {
 
 
 def read_table(spark: SparkSession, path: str | Sequence[str], schema: str | None = None,
-               columns: Sequence[str] | None = None) -> DataFrame:
+               columns: Sequence[str] | None = None, fmt: str | None = None) -> DataFrame:
     """Scan Parquet or header CSV. With several candidate paths the first that exists is read.
 
+    The format follows the file name unless ``fmt`` says ``csv`` or ``parquet``.
+
     Columns given here are the only ones read. CSV needs a declared schema: nothing is inferred.
     """
     candidates = [path] if isinstance(path, str) else list(path)
     for candidate in candidates:
-        df = _open(spark, candidate, schema)
+        df = _open(spark, candidate, schema, fmt)
         if df is not None:
             return df.select(*columns) if columns else df
     raise FileNotFoundError(f"none of these tables exists: {candidates}")
 
 
 def optional_table(spark: SparkSession, path: str | Sequence[str], schema: str | None = None,
-                   required: Sequence[str] = ()) -> DataFrame | None:
+                   required: Sequence[str] = (), fmt: str | None = None) -> DataFrame | None:
     """The table, or None when it is missing or lacks a required column."""
     try:
-        df = read_table(spark, path, schema)
+        df = read_table(spark, path, schema, fmt=fmt)
     except FileNotFoundError:
         return None
     return with_required_columns(df, required)
@@ -53,15 +55,15 @@ def missing_columns(df: DataFrame, required: Sequence[str]) -> list[str]:
 
 
 def read_or_build(spark: SparkSession, clean_path: str, build: Callable[[], DataFrame],
-                  schema: str | None = None) -> DataFrame:
+                  schema: str | None = None, fmt: str | None = None) -> DataFrame:
     """Read the materialised table when there is one, otherwise build it from raw."""
-    df = _open(spark, clean_path, schema)
+    df = _open(spark, clean_path, schema, fmt)
     return build() if df is None else df
 
 
-def _open(spark: SparkSession, path: str, schema: str | None) -> DataFrame | None:
+def _open(spark: SparkSession, path: str, schema: str | None, fmt: str | None) -> DataFrame | None:
     try:
-        if path.rstrip("/").endswith(".csv"):
+        if fmt == "csv" or (fmt is None and path.rstrip("/").endswith(".csv")):
             if schema is None:
                 raise ValueError("a CSV scan needs a declared schema")
             # CSV columns bind by position, so the declared schema is matched to the file's header.

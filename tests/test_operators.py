@@ -384,9 +384,8 @@ def test_clean_tables_round_trip(spark, fleet, tmp_path):
     back = sinks.read_clean(spark, str(tmp_path), "hourly_model_targets")
     assert back.count() == 3 and set(back.columns) == set(rows.columns)
     sinks.write_clean({"plants_clean": fleet.select("plant_id", "plant_name")}, str(tmp_path / "csv"), "csv")
-    again = spark.read.csv(
-        str(tmp_path / "csv" / "plants_clean"), header=True)
-    assert again.count() == 5
+    again = tables.read_table(spark, str(tmp_path / "csv" / "plants_clean"), "plant_id long, plant_name string", fmt="csv")
+    assert again.count() == 5 and dict(again.dtypes)["plant_id"] == "bigint"
 
 
 def test_csv_scan_binds_columns_by_name(spark, tmp_path):
