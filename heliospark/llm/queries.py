@@ -4,18 +4,35 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from heliospark.llm import ngram_join, substring_dedup
+from heliospark.llm import bpe_codec, ngram_join, simhash, source_mix, substring_dedup, token_counts
 from heliospark.llm.shared import read
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(read(spark, sf_dir, "documents"))
+
+
+def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_mix.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_codec.digests(read(spark, sf_dir, "documents"))
+
+
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = ngram_join.similar_groups(read(spark, sf_dir, "documents"))
     return groups.select("doc_id", "n_shingles", "component_id")
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.fingerprint_report(read(spark, sf_dir, "documents"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(read(spark, sf_dir, "documents")).drop("kept_text")
 
 
-QUERIES = {f.__name__: f for f in (op6_ngram_jaccard_join, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (
+    op2_token_counts, op3_source_mix, op5_bpe_codec, op6_ngram_jaccard_join, op9_simhash, op10_substring_dedup)}
 ORACLE_SQL: dict[str, str] = {}
