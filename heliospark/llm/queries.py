@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from heliospark.llm import bpe_codec, ngram_join, simhash, source_mix, substring_dedup, token_counts
+from heliospark.llm import bpe_codec, license_scan, ngram_join, quality_rff, simhash, source_mix, substring_dedup, token_counts
 from heliospark.llm.shared import read
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_scan(read(spark, sf_dir, "documents"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read(spark, sf_dir, "documents"))
 
@@ -16,6 +20,10 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_quality_rff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rff.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")).drop("tkey")
+
+
 def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.digests(read(spark, sf_dir, "documents"))
 
@@ -34,5 +42,5 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_token_counts, op3_source_mix, op5_bpe_codec, op6_ngram_jaccard_join, op9_simhash, op10_substring_dedup)}
+    op1_license_scan, op2_token_counts, op3_source_mix, op4_quality_rff, op5_bpe_codec, op6_ngram_jaccard_join, op9_simhash, op10_substring_dedup)}
 ORACLE_SQL: dict[str, str] = {}
