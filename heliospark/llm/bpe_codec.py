@@ -13,6 +13,7 @@ import heapq
 import json
 import unicodedata
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -149,7 +150,7 @@ def _other(batch, *but: str) -> list[str]:
     return [n for n in batch.schema.names if n not in but]
 
 
-def _digests(path: str):
+def _digests(path: str, with_ids: bool):
     def run(batches):
         stretches = codec(path).stretches
         for batch in batches:
@@ -157,11 +158,12 @@ def _digests(path: str):
             for text in batch.column("text").to_pylist():
                 found = stretches(text or "")
                 counts, ids, tokens = zip(*found) if found else ((), (), ())
-                out.append((sum(counts), hashlib.sha256(" ".join(ids).encode()).hexdigest(), hashlib.sha256(" ".join(tokens).encode()).hexdigest()))
-            names = _other(batch, "text")
-            yield pa.RecordBatch.from_arrays([batch.column(n) for n in names] + [pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.string()),
-                                                                                pa.array([o[2] for o in out], pa.string())],
-                                             names=[*names, "n_tokens", "ids_sha256", "decoded_sha256"])
+                ids = " ".join(ids)
+                out.append((sum(counts), hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(" ".join(tokens).encode()).hexdigest(),
+                            np.fromstring(ids, np.int32, sep=" ") if with_ids else None))
+            names, found = _other(batch, "text"), ["n_tokens", "ids_sha256", "decoded_sha256", "ids"][:4 if with_ids else 3]
+            types = (pa.int64(), pa.string(), pa.string(), pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column(n) for n in names] + [pa.array([o[i] for o in out], types[i]) for i in range(len(found))], names=[*names, *found])
     return run
 
 
@@ -198,12 +200,12 @@ def decode(encoded: DataFrame, path: str | None = None, carry: tuple[str, ...] =
     return encoded.select(*carry, "ids").mapInArrow(_texts(path or default_vocabulary()), _named(encoded, carry) + ", decoded string")
 
 
-def digests(docs: DataFrame, path: str | None = None, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def digests(docs: DataFrame, path: str | None = None, carry: tuple[str, ...] = ("doc_id",), with_ids: bool = False) -> DataFrame:
     """Encode and decode every whole text and return the digests of both.
 
     Returns the ``carry`` columns, ``n_tokens``, ``ids_sha256`` (decimal ids joined by a blank) and ``decoded_sha256``
-    (decoded text in UTF-8), lower-case hex. Null, empty and blank texts have no token and the digests of an empty text.
+    (decoded text in UTF-8), lower-case hex; ``with_ids`` adds ``ids``. Null, empty and blank texts have no token and the digests of an empty text.
     Each row stands alone: order, repeated rows and other columns do not matter, and an empty table gives an empty result.
     """
-    return docs.select(*carry, "text").mapInArrow(_digests(path or default_vocabulary()),
-                                                 _named(docs, carry) + ", n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return docs.select(*carry, "text").mapInArrow(_digests(path or default_vocabulary(), with_ids),
+                                                 _named(docs, carry) + ", n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids)

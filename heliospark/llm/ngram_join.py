@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from heliospark.llm.components import components
-from heliospark.llm.shared import chunks, keep, runs_of, signed, text_key, whole_hash, word_hashes
+from heliospark.llm.shared import chunks, keep, only, runs_of, signed, text_key, whole_hash, word_hashes
 
 WIDTH = 5
 PERCENT = 75
@@ -353,3 +353,17 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     of_class = named.join(least, "label").select("cls", "component_id")
     return (per_doc.join(of_class, "cls", "left")
             .select("doc_id", "tkey", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")))
+
+
+def one_of_each(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """One row of each group of similar documents, that with the smallest doc_id (ties: smallest hash of the text).
+
+    Documents without words are no group and all stay. All columns of ``docs`` are returned unchanged.
+    """
+    groups = keep(similar_groups(docs, width, percent), "groups")
+    wordless = groups.where("n_shingles = 0").select("doc_id", "tkey").distinct()
+    first = groups.where("n_shingles > 0").groupBy("component_id").agg(F.min(F.struct("doc_id", "tkey")).alias("k")).select("k.doc_id", "k.tkey")
+    rows = groups.where("n_shingles > 0").groupBy("doc_id", "tkey").agg(F.count("*").alias("rows"))
+    match = first["doc_id"].eqNullSafe(rows["doc_id"]) & (first["tkey"] == rows["tkey"])
+    chosen = first.join(rows, match).select(first["doc_id"], first["tkey"], "rows").union(wordless.withColumn("rows", F.lit(1)))
+    return only(docs, keep(chosen, "chosen"))

@@ -158,21 +158,60 @@ def isotonic(positive: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.nd
     return np.array(xs, float), np.array(ys, float)
 
 
+def _score(model, x: np.ndarray) -> np.ndarray:
+    if model is None:
+        return np.full(len(x), 0.5)
+    mapping, weights, xs, ys = model
+    raw = mapping(x) @ weights
+    place = (raw - _LOW) / (_HIGH - _LOW) * BINS - 0.5
+    return np.clip(0.998 * np.interp(place, xs, ys) + 0.002 / (1 + np.exp(-8 * (raw - 0.5))), 0, 1)  # strictly rising
+
+
 def _scores(shared):
     def run(batches):
-        model = shared.value
         for batch in batches:
-            if model is None:
-                score = np.full(batch.num_rows, 0.5)
-            else:
-                features, weights, xs, ys = model
-                raw = features(_matrix(batch.column("x"))) @ weights
-                place = (raw - _LOW) / (_HIGH - _LOW) * BINS - 0.5
-                score = 0.998 * np.interp(place, xs, ys) + 0.002 / (1 + np.exp(-8 * (raw - 0.5)))  # strictly rising
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tkey"), pa.array(np.clip(score, 0, 1))], names=["doc_id", "tkey", "score"])
+            found = pa.array(_score(shared.value, _matrix(batch.column("x"))))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tkey"), found], names=["doc_id", "tkey", "score"])
     return run
 
 
+def _classified(shared):
+    """Score rows by their text and keep those that are predicted good."""
+    def run(batches):
+        for batch in batches:
+            rows = [statistics(t.as_py()) for t in binary(batch.column("text"))]
+            good = _score(shared.value, np.array(rows).reshape(-1, STATISTICS)) >= 0.5
+            yield batch.filter(pa.array(good))
+    return run
+
+
+def _held_crc() -> F.Column:
+    return F.crc32(F.col("doc_id").cast("string").cast("binary"))
+
+
+def _table(docs: DataFrame) -> DataFrame:
+    return keep(docs.select(F.col("doc_id").cast("long"), text_key().alias("tkey"), "text").mapInArrow(_statistics, "doc_id long, tkey long, x array<double>"), "statistics")
+
+
+def _fit(table: DataFrame, labels: DataFrame, features: int, bandwidth: float, ridge: float, seed: int):
+    """The broadcast model: feature map, weights, calibration; None without any usable label."""
+    context = table.sparkSession.sparkContext
+    known = labels.where("quality IS NOT NULL").select(F.col("doc_id").cast("long"), F.col("quality").cast("double").alias("label"))
+    train = table.join(known, "doc_id").where(_held_crc() % 3 != 1).select("x", "label", (F.floor(_held_crc() / 3) % 2).alias("fold"))
+    train = keep(train, "labelled")
+    moments = _summed(train, _moments).get(0)
+    if moments is None or moments[-1] == 0:
+        return context.broadcast(None)
+    first, second = moments[:-1].reshape(2, -1) / moments[-1]
+    mapping = Map(first, np.sqrt(np.maximum(second - first * first, 0)), features, bandwidth, seed)
+    sums = _summed(train, _equations(context.broadcast(mapping)))
+    halves = [sums[k].reshape(features + 2, features + 2) for k in (0, 1)]
+    both = halves[0] + halves[1]
+    weights = [solve(h if h[-2, -2] > 0 else both, ridge) for h in halves]
+    positive, count = _summed(train, _binned(context.broadcast((mapping, weights))))[0].reshape(2, BINS)
+    return context.broadcast((mapping, solve(both, ridge), *isotonic(positive, count)))
+
+
 def score(docs: DataFrame, labels: DataFrame, features: int = FEATURES, bandwidth: float = BANDWIDTH, ridge: float = RIDGE, seed: int = SEED) -> DataFrame:
     """Score every whole text; higher means label 1 is likelier.
 
@@ -182,23 +221,11 @@ def score(docs: DataFrame, labels: DataFrame, features: int = FEATURES, bandwidt
     and are scored too; rows with a null doc_id are scored and not held out; null labels are not learnt from. Without any
     usable label every score is 0.5. Repeated rows are each scored; an empty table gives an empty result.
     """
-    context = docs.sparkSession.sparkContext
-    crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
-    table = keep(docs.select(F.col("doc_id").cast("long"), text_key().alias("tkey"), "text").mapInArrow(_statistics, "doc_id long, tkey long, x array<double>"), "statistics")
-    known = labels.where("quality IS NOT NULL").select(F.col("doc_id").cast("long"), F.col("quality").cast("double").alias("label"))
-    train = table.join(known, "doc_id").where(crc % 3 != 1).select("x", "label", (F.floor(crc / 3) % 2).alias("fold"))
-    train = keep(train, "labelled")
-    moments = _summed(train, _moments).get(0)
-    model = None
-    if moments is not None and moments[-1] > 0:
-        first, second = moments[:-1].reshape(2, -1) / moments[-1]
-        mapping = Map(first, np.sqrt(np.maximum(second - first * first, 0)), features, bandwidth, seed)
-        sums = _summed(train, _equations(context.broadcast(mapping)))
-        size = features + 2
-        halves = [sums[k].reshape(size, size) for k in (0, 1)]
-        both = halves[0] + halves[1]
-        weights = [solve(h if h[-2, -2] > 0 else both, ridge) for h in halves]
-        positive, count = _summed(train, _binned(context.broadcast((mapping, weights))))[0].reshape(2, BINS)
-        model = (mapping, solve(both, ridge), *isotonic(positive, count))
-    scored = table.mapInArrow(_scores(context.broadcast(model)), "doc_id long, tkey long, score double")
-    return scored.select("doc_id", "tkey", F.coalesce(crc % 3 == 1, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    table = _table(docs)
+    scored = table.mapInArrow(_scores(_fit(table, labels, features, bandwidth, ridge, seed)), "doc_id long, tkey long, score double")
+    return scored.select("doc_id", "tkey", F.coalesce(_held_crc() % 3 == 1, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, features: int = FEATURES, bandwidth: float = BANDWIDTH, ridge: float = RIDGE, seed: int = SEED) -> DataFrame:
+    """The rows of ``docs`` that score at least 0.5, all columns unchanged; texts are read again rather than shuffled."""
+    return docs.mapInArrow(_classified(_fit(_table(docs), labels, features, bandwidth, ridge, seed)), docs.schema)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from heliospark.llm import bpe_codec, license_scan, ngram_join, quality_rff, simhash, source_mix, substring_dedup, token_counts
+from heliospark.llm import bpe_codec, license_scan, ngram_join, quality_rff, simhash, source_mix, substring_dedup, token_counts, vector_search, warc
 from heliospark.llm.shared import read
 
 
@@ -33,6 +33,14 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "n_shingles", "component_id")
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(read(spark, sf_dir, "pages"))
+
+
+def op8_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_search.search(read(spark, sf_dir, "embeddings"), "vec_id % 20 = 0")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.fingerprint_report(read(spark, sf_dir, "documents"))
 
@@ -42,5 +50,6 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_license_scan, op2_token_counts, op3_source_mix, op4_quality_rff, op5_bpe_codec, op6_ngram_jaccard_join, op9_simhash, op10_substring_dedup)}
+    op1_license_scan, op2_token_counts, op3_source_mix, op4_quality_rff, op5_bpe_codec, op6_ngram_jaccard_join,
+    op7_warc, op8_vector_search, op9_simhash, op10_substring_dedup)}
 ORACLE_SQL: dict[str, str] = {}

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from heliospark.llm.shared import WORD, keep
+from heliospark.llm.shared import WORD, keep, only
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -86,8 +86,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MO
 
 
 def repeated(docs: DataFrame, mixed: DataFrame) -> DataFrame:
-    """The mix itself: every document as often as ``mixed`` (a result of mix) says, with all columns of ``docs``."""
-    times = mixed.where("copies > 0").groupBy("doc_id", "tkey").agg(F.max("copies").alias("__copies"))
-    keyed = docs.withColumn("__tkey", F.xxhash64("text"))
-    match = keyed["doc_id"].eqNullSafe(times["doc_id"]) & (keyed["__tkey"] == times["tkey"])
-    return keyed.join(times, match).select(*(keyed[c] for c in docs.columns), F.explode(F.sequence(F.lit(1), F.col("__copies"))).alias("__copy")).drop("__copy")
+    """The mix itself: every document as often as ``mixed`` (a result of mix over ``docs``) says, with all columns of ``docs``."""
+    times = keep(mixed.groupBy("doc_id", "tkey").agg(F.count("*").alias("rows"), F.sum("copies").cast("int").alias("__copies")).where("__copies > 0"), "copies")
+    found = only(docs, times).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
+    return found.select(*(F.col(f"`{c}`") for c in docs.columns))
