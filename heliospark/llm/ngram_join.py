@@ -9,7 +9,9 @@
    neighbour in size; length and position bounds drop pairs. Remaining pairs are distinct, pass the suffix bound and are
    verified once on the whole texts.
 4. Links so far give components. Only shingle groups that still span several components can hide a link that matters:
-   there, all pairs from different components are generated in bounded blocks and verified.
+   there, pairs from different components are generated in bounded blocks and verified: first a few partners for each
+   class, which joins most components, then all pairs that are left. What of a prefix no other
+   document shares bounds a document's overlap with any other, which leaves few such pairs.
 
 Pairs inside a component that is already connected are never expanded, so a group of near copies costs a few pairs for
 each member while components stay exact.
@@ -26,15 +28,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from heliospark.llm.components import components
-from heliospark.llm.shared import chunks, keep, only, runs_of, signed, text_key, whole_hash, word_hashes
+from heliospark.llm.shared import chunks, keep, mixed, only, runs_of, signed, text_key, whole_hash, word_hashes
 
 WIDTH = 5
 PERCENT = 75
-TABLE_BITS = 20  # fixed: 2^20 counters, 8 MB, at every input size
+TABLE_BITS = 22  # fixed: 2^22 counters, 32 MB, at every input size
 SLICES = 16
-RANGES = 16
+RANGES = 256
 HOT_GROUP = 50_000  # documents in a counter for each salt of a shingle
 BLOCK = 1_000  # classes that meet at once in a group that spans components
+_FULL = 65_535  # a range that holds this many or more
+PARTNERS = 6  # partners of a class in each shingle before all pairs are tried
 SEEN_CLASSES = 500_000
 
 
@@ -55,7 +59,17 @@ def _class_id(grams: np.ndarray) -> int:
 
 
 def _ranges(grams: np.ndarray) -> bytes:
-    return np.bincount(grams >> np.uint64(60), minlength=RANGES).astype(np.int32).tobytes()
+    return np.minimum(np.bincount(grams >> np.uint64(56), minlength=RANGES), _FULL).astype(np.uint16).tobytes()
+
+
+def suffix_fits(a: np.ndarray, b: np.ndarray, n: np.ndarray, percent: int) -> np.ndarray:
+    """Whether two sets may overlap enough, by their counts in fixed hash ranges; n is the sum of both sizes."""
+    out = np.empty(len(a), bool)
+    for s in range(0, len(a), 20_000):
+        x, y = a[s:s + 20_000], b[s:s + 20_000]
+        out[s:s + 20_000] = np.minimum(x, y).sum(1, dtype=np.int64) * (100 + percent) >= percent * n[s:s + 20_000]
+        out[s:s + 20_000] |= (x == _FULL).any(1) | (y == _FULL).any(1)
+    return out
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -67,7 +81,7 @@ _SKETCH = "doc_id long, tkey long, cls long, n long, ranges binary, slice int, c
 
 def _sketch(width: int):
     def run(batches):
-        counts = np.zeros(1 << TABLE_BITS, np.int64)
+        counts = np.zeros(1 << TABLE_BITS, np.int32)
         schema = pa.schema([("doc_id", pa.int64()), ("tkey", pa.int64()), ("cls", pa.int64()), ("n", pa.int64()),
                             ("ranges", pa.binary()), ("slice", pa.int32()), ("counts", pa.binary())])
         for batch in batches:
@@ -76,7 +90,7 @@ def _sketch(width: int):
                 part = [g for g in sets[start:start + 256] if len(g)]
                 if part:
                     slots, found = np.unique(np.concatenate(part) >> np.uint64(64 - TABLE_BITS), return_counts=True)
-                    counts[slots] += found
+                    counts[slots] += found.astype(np.int32)
             nothing = [None] * len(sets)
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), batch.column("tkey"),
@@ -91,21 +105,23 @@ def _sketch(width: int):
     return run
 
 
-def _add_counts(batches):
+def _add_counts(kind):
     """Partial sums of the counters that one task reads."""
-    total: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for i, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
-            part = np.frombuffer(blob.as_py(), np.int64)
-            total[i] = total[i] + part if i in total else part
-    yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([v.tobytes() for v in total.values()], pa.binary())],
-                                     names=["slice", "counts"])
+    def run(batches):
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for i, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
+                part = np.frombuffer(blob.as_py(), kind)
+                total[i] = total[i] + part if i in total else part.astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([v.tobytes() for v in total.values()], pa.binary())],
+                                         names=["slice", "counts"])
+    return run
 
 
-def frequency_ranks(sketch: DataFrame) -> np.ndarray:
-    """For each counter the rounded logarithm of its documents; the only thing that is broadcast, of fixed size."""
+def frequencies(sketch: DataFrame) -> np.ndarray:
+    """Documents of each counter; broadcast, of fixed size."""
     rows = sketch.where("slice IS NOT NULL").select("slice", "counts")
-    rows = rows.mapInArrow(_add_counts, "slice int, counts binary").repartition(SLICES, "slice").mapInArrow(_add_counts, "slice int, counts binary")
+    rows = rows.mapInArrow(_add_counts(np.int32), "slice int, counts binary").repartition(SLICES, "slice").mapInArrow(_add_counts(np.int64), "slice int, counts binary")
     counts = np.zeros((SLICES, (1 << TABLE_BITS) // SLICES), np.int64)
     for i, blob in rows.collect():
         counts[i] += np.frombuffer(blob, np.int64)
@@ -175,7 +191,11 @@ _CANDIDATE = "kind int, token long, salt int, a long, b long, n int, pos int"
 
 
 def _columns(table: pa.Table | pa.RecordBatch) -> dict[str, np.ndarray]:
-    return {name: table.column(name).to_numpy(zero_copy_only=False) for name in table.schema.names}
+    def values(column):
+        if pa.types.is_binary(column.type):
+            return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, RANGES)
+        return column.to_numpy(zero_copy_only=False)
+    return {name: values(table.column(name)) for name in table.schema.names}
 
 
 def _whole_groups(batches, keys: tuple[str, ...]):
@@ -231,6 +251,8 @@ def _meet(percent: int):
             opened = np.flatnonzero((sizes[group] > 2) | (c["salt"] >= 0))
             heads = starts[c["salt"][starts] >= 0]
             yield _candidate_batch(1, pairs.shape[1], a=pairs[0], b=pairs[1])
+            shared, times = np.unique(c["cls"][many | (c["salt"] >= 0)], return_counts=True)
+            yield _candidate_batch(4, len(shared), a=shared, n=times)
             for kind, rows in ((2, opened), (3, heads)):
                 yield _candidate_batch(kind, len(rows), token=c["token"][rows], salt=c["salt"][rows], a=c["cls"][rows],
                                        n=c["n"][rows], pos=c["pos"][rows])
@@ -259,9 +281,7 @@ def _cross(percent: int):
                 if not len(left) or not len(right):
                     continue
                 x, y = (g.reshape(-1) for g in np.meshgrid(left, right, indexing="ij"))
-                fits = (c["comp"][x] != c["comp"][y]) & (c["a"][x] != c["a"][y])
-                x, y = x[fits], y[fits]
-                fits = may_reach(c["n"][x], c["pos"][x], c["n"][y], c["pos"][y], percent)
+                fits = _bounded(c, x, y, percent)
                 found.append(np.stack([np.minimum(c["a"][x[fits]], c["a"][y[fits]]), np.maximum(c["a"][x[fits]], c["a"][y[fits]])]))
             if found:
                 pairs = np.unique(np.concatenate(found, axis=1), axis=1)
@@ -269,16 +289,43 @@ def _cross(percent: int):
     return run
 
 
+def _bounded(c, x, y, percent: int) -> np.ndarray:
+    """Whether two entries of one shingle, from different components, may link."""
+    fits = (c["comp"][x] != c["comp"][y]) & may_reach(c["n"][x], c["pos"][x], c["n"][y], c["pos"][y], percent)
+    fits &= np.minimum(c["most"][x], c["most"][y]) * (100 + percent) >= percent * (c["n"][x] + c["n"][y])
+    at = np.flatnonzero(fits)
+    fits[at] = suffix_fits(c["ranges"][x[at]], c["ranges"][y[at]], c["n"][x[at]] + c["n"][y[at]], percent)
+    return fits
+
+
+def _some(percent: int, partners: int):
+    """Pair each member of a block with its next few members, in an order that differs from shingle to shingle."""
+    keys = ("token", "own")
+
+    def run(batches):
+        for c in _whole_groups(batches, keys):
+            c["n"], c["pos"] = c["n"].astype(np.int64), c["pos"].astype(np.int64)
+            starts = _group_starts(c, keys)
+            group = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(c["token"]))))
+            order = np.lexsort((mixed(c["a"].view(np.uint64) ^ mixed(c["token"].view(np.uint64))), group))
+            found = []
+            for off in range(1, partners + 1):
+                x, y = order[off:], order[:-off]
+                fits = (group[x] == group[y]) & _bounded(c, x, y, percent)
+                found.append(np.stack([np.minimum(c["a"][x[fits]], c["a"][y[fits]]), np.maximum(c["a"][x[fits]], c["a"][y[fits]])]))
+            pairs = np.unique(np.concatenate(found, axis=1), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+    return run
+
+
 def _suffix_fits(percent: int):
     """Upper bound of the overlap from both sets' counts in fixed hash ranges."""
     def run(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            a, b = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.int32).reshape(-1, RANGES).astype(np.int64)
-                    for k in ("ranges_a", "ranges_b"))
-            common = np.minimum(a, b).sum(1)
-            fits = common * (100 + percent) >= percent * (a.sum(1) + b.sum(1))
+            a, b = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint16).reshape(-1, RANGES) for k in ("ranges_a", "ranges_b"))
+            fits = suffix_fits(a, b, a.sum(1, dtype=np.int64) + b.sum(1, dtype=np.int64), percent)
             yield batch.filter(pa.array(fits)).select(["a", "b", "doc_a", "tkey_a", "doc_b", "tkey_b"])
     return run
 
@@ -305,6 +352,16 @@ def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, pe
     return keep(found.select("a", "b", "text_a", "text_b").mapInArrow(_verify(width, percent), "a long, b long"), "verified")
 
 
+def _spread(opened: DataFrame, links: DataFrame, classes: DataFrame) -> DataFrame:
+    """Entries of shingles whose classes the links leave in several components, with component and block."""
+    labels = components(links).select(F.col("node").alias("a"), "label")
+    entries = keep(opened.join(labels, "a", "left").withColumn("comp", F.coalesce("label", "a")).drop("label"), "labelled")
+    sizes = entries.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size")).where("lo <> hi")
+    sizes = sizes.select("token", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+    entries = entries.join(sizes, "token").withColumn("own", F.pmod(F.xxhash64("a"), "blocks").cast("int"))
+    return entries.join(classes.select(F.col("cls").alias("a"), "ranges"), "a")
+
+
 def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """Group documents by chains of links; two link when 100 * |A and B| >= percent * |A or B| for their shingle sets.
 
@@ -317,7 +374,7 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     spark: SparkSession = docs.sparkSession
     keyed = docs.select("doc_id", "text").withColumn("tkey", text_key())
     sketch = keep(keyed.mapInArrow(_sketch(width), _SKETCH), "sketch")
-    counts = spark.sparkContext.broadcast(frequency_ranks(sketch))
+    counts = spark.sparkContext.broadcast(frequencies(sketch))
     per_doc = sketch.where("slice IS NULL").select("doc_id", "tkey", "cls", "n", "ranges")
     classes = keep(per_doc.where("cls IS NOT NULL").groupBy("cls").agg(
         F.min(F.struct("doc_id", "tkey")).alias("d"), F.min("ranges").alias("ranges"))
@@ -332,20 +389,19 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     across = heads.join(heads.groupBy("token").agg(F.min("a").alias("b")), "token").where("a <> b")
     first = _links(met.where("kind = 1").select("a", "b").union(across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))),
                    classes, keyed, width, percent)
-    labels = keep(components(first), "labels")
-
-    opened = met.where("kind = 2").select("token", "a", "n", "pos").join(
-        labels.select(F.col("node").alias("a"), "label"), "a", "left").withColumn("comp", F.coalesce("label", "a")).drop("label")
-    opened = keep(opened, "open")
-    spread = opened.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size")).where("lo <> hi")
-    blocks = (opened.join(spread.select("token", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "token")
-              .withColumn("own", F.pmod(F.xxhash64("a"), "blocks").cast("int"))
-              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-              .select("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "a", "n", "pos", "comp"))
+    # shingles of the prefix that no other prefix holds cannot be shared: the rest bounds any overlap
+    shared = met.where("kind = 4").groupBy("a").agg(F.sum("n").alias("shared"))
+    prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    opened = keep(met.where("kind = 2").select("token", "a", "n", "pos").join(shared, "a")
+                  .withColumn("most", F.col("n") - prefix + F.col("shared")).drop("shared"), "open")
+    some = _spread(opened, first, classes).select("token", "own", "a", "n", "pos", "comp", "most", "ranges")
+    some = some.repartition(parts, "token", "own").sortWithinPartitions("token", "own").mapInArrow(_some(percent, PARTNERS), "a long, b long")
+    second = first.union(_links(some, classes, keyed, width, percent))
+    blocks = _spread(opened, second, classes).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    blocks = blocks.select("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "a", "n", "pos", "comp", "most", "ranges")
     rest = (blocks.repartition(parts, "token", "i", "j").sortWithinPartitions("token", "i", "j")
             .mapInArrow(_cross(percent), "a long, b long"))
-    second = _links(rest, classes, keyed, width, percent)
-    whole = components(first.union(second))
+    whole = components(second.union(_links(rest, classes, keyed, width, percent)))
 
     named = (classes.select("cls", "doc_id").join(whole.withColumnRenamed("node", "cls"), "cls", "left")
              .withColumn("label", F.coalesce("label", "cls")))
