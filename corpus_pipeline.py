@@ -23,9 +23,10 @@ def one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 50 words and more that an earlier document holds are cut; a document cut to nothing stays, empty."""
-    others = tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_chars"))
-    cut = substring_dedup.remove_repeats(docs, carry=others)
-    return cut.withColumn("text", F.col("kept_text")).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    whole = docs.withColumn("__row", F.struct(*(c for c in docs.columns if c not in ("text", "n_chars"))))
+    cut = substring_dedup.remove_repeats(whole, carry=("__row",))
+    new = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
+    return cut.select(*(new[c].alias(c) if c in new else F.col("__row")[c].alias(c) for c in docs.columns))
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -30,7 +30,7 @@ def components(links: DataFrame) -> DataFrame:
     """Label every linked node with the least node it can reach.
 
     ``links`` has two integer columns ``a`` and ``b``; order, repeats and self links do not matter. Returns ``node``
-    and ``label``; nodes without a link to another are absent. Rows with a null are ignored. Every round is written
+    and ``label``; a node without a smaller one to reach is its own label and absent. Rows with a null are ignored. Every round is written
     to the shared folder, so a lost executor repeats one round at most; neighbour lists are never gathered.
     """
     ordered = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()

@@ -227,8 +227,8 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, carry: tuple[str, ...] = (
     """
     spans = repeated_spans(docs, span).distinct().groupBy("doc_id", "tkey").agg(F.collect_list(F.struct("lo", "hi")).alias("s"))
     spans = keep(spans.select("doc_id", "tkey", F.col("s.lo").alias("lows"), F.col("s.hi").alias("highs")), "spans")
-    keyed = docs.select("doc_id", *carry, "text", text_key().alias("tkey"))
-    joined = keyed.join(spans, ["doc_id", "tkey"], "left").select("doc_id", *carry, "text", "lows", "highs")
-    types = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
-    schema = ", ".join(f"`{c}` {types[c]}" for c in ("doc_id", *carry)) + ", n_words long, n_removed long, kept_sha256 string, kept_text string"
-    return joined.mapInArrow(_cut(span), schema)
+    carried = F.struct(F.lit(0).alias("__none"), *carry).alias("carried")
+    joined = docs.select("doc_id", carried, "text", text_key().alias("tkey")).join(spans, ["doc_id", "tkey"], "left").select("doc_id", "carried", "text", "lows", "highs")
+    types = {f.name: f.dataType.simpleString() for f in joined.schema.fields}
+    cut = joined.mapInArrow(_cut(span), f"doc_id {types['doc_id']}, carried {types['carried']}, n_words long, n_removed long, kept_sha256 string, kept_text string")
+    return cut.select("doc_id", *(F.col("carried")[c].alias(c) for c in carry), "n_words", "n_removed", "kept_sha256", "kept_text")
