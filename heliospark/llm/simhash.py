@@ -76,7 +76,7 @@ def with_next(rows: DataFrame, columns: dict[str, str], order: tuple[str, ...] =
     overs = overs.select("__over", F.coalesce(F.lead("lowest").over(line), F.first("lowest").over(line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("beyond"))
     sent = (best.withColumn("above", F.lead("__bucket").over(within)).join(overs, "__over")
             .select(F.col("head"), F.coalesce("above", "beyond").alias("__to")))
-    sent = sent.select("__to", F.col("head.k").alias("__k"), *(F.col(f"head.{c}").alias(f"__{c}") for c in order[1:]))
+    sent = keep(sent.select("__to", F.col("head.k").alias("__k"), *(F.col(f"head.{c}").alias(f"__{c}") for c in order[1:])), "sent")  # its size is known then: texts move only if it is large
     match = lead_key == F.col("__k")
     for c in order[1:]:
         match &= F.coalesce(c, F.lit(-(1 << 63))) == F.col(f"__{c}")
