@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame
 
 VOCABULARY = "word_bpe_49k.json"
 SHORT = 128
-REMEMBERED = 400_000  # words of which a worker keeps the encoding; others are encoded again
+ROWS = 1000  # texts whose results are held at once
+REMEMBERED = 150_000  # words of which a worker keeps the encoding; others are encoded again
 _NO_RANK = 1 << 60
 _ID = (1 << 20) - 1
 _BLANK = "\\x09-\\x0D\\x20\\x85\\xA0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000"
@@ -153,7 +154,7 @@ def _other(batch, *but: str) -> list[str]:
 def _digests(path: str, with_ids: bool):
     def run(batches):
         stretches = codec(path).stretches
-        for batch in batches:
+        for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
             out = []
             for text in batch.column("text").to_pylist():
                 found = stretches(text or "")

@@ -32,7 +32,7 @@ from heliospark.llm.shared import chunks, keep, mixed, only, runs_of, signed, te
 
 WIDTH = 5
 PERCENT = 75
-TABLE_BITS = 22  # fixed: 2^22 counters, 32 MB, at every input size
+TABLE_BITS = 22  # fixed: 2^22 counters, 16 MB, at every input size
 SLICES = 16
 RANGES = 256
 HOT_GROUP = 50_000  # documents in a counter for each salt of a shingle
@@ -125,7 +125,7 @@ def frequencies(sketch: DataFrame) -> np.ndarray:
     counts = np.zeros((SLICES, (1 << TABLE_BITS) // SLICES), np.int64)
     for i, blob in rows.collect():
         counts[i] += np.frombuffer(blob, np.int64)
-    return counts.reshape(-1)
+    return np.minimum(counts.reshape(-1), 2**31 - 1).astype(np.int32)
 
 
 _POSTING = "token long, salt int, cls long, n int, pos int"
@@ -134,8 +134,9 @@ _POSTING = "token long, salt int, cls long, n int, pos int"
 def _prefixes(counts, width: int, percent: int):
     def run(batches):
         table = counts.value
-        rank = np.floor(np.log2(1.0 + table) * 256).astype(np.uint64) << np.uint64(48)
-        salts = table // HOT_GROUP + 1
+        rank = np.empty(len(table), np.uint16)
+        for at in range(0, len(table), 1 << 16):
+            rank[at:at + (1 << 16)] = np.log2(1.0 + table[at:at + (1 << 16)]) * 256
         seen: set[int] = set()
         low = np.uint64((1 << 48) - 1)
         for batch in batches:
@@ -150,14 +151,14 @@ def _prefixes(counts, width: int, percent: int):
                 if len(seen) < SEEN_CLASSES:
                     seen.add(cls)
                 slot = grams >> np.uint64(64 - TABLE_BITS)
-                key = rank[slot] | (grams & low)
+                key = rank[slot].astype(np.uint64) << np.uint64(48) | (grams & low)
                 size = prefix_length(len(grams), percent)
                 if size < len(key):
                     first = np.argpartition(key, size - 1)[:size]
                     first = first[np.argsort(key[first])]
                 else:
                     first = np.argsort(key)
-                salt = salts[slot[first]]
+                salt = table[slot[first]] // HOT_GROUP + 1
                 salt = np.where(salt > 1, cls % salt, -1)
                 out.append((key[first], salt, cls, len(grams)))
                 held += len(first)
