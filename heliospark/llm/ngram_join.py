@@ -158,7 +158,7 @@ def _prefixes(counts, width: int, percent: int):
                     first = first[np.argsort(key[first])]
                 else:
                     first = np.argsort(key)
-                salt = table[slot[first]] // HOT_GROUP + 1
+                salt = table[slot[first]].astype(np.int64) // HOT_GROUP + 1
                 salt = np.where(salt > 1, cls % salt, -1)
                 out.append((key[first], salt, cls, len(grams)))
                 held += len(first)
