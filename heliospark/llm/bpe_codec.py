@@ -17,10 +17,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from heliospark.llm.shared import release_memory
+
 VOCABULARY = "word_bpe_49k.json"
 SHORT = 128
 ROWS = 1000  # texts whose results are held at once
-REMEMBERED = 150_000  # words of which a worker keeps the encoding; others are encoded again
+REMEMBERED = 150_000  # stretches between blanks of which a worker keeps the encoding; others are encoded again
+REMEMBERED_WORDS = 60_000
 _NO_RANK = 1 << 60
 _ID = (1 << 20) - 1
 _BLANK = "\\x09-\\x0D\\x20\\x85\\xA0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000"
@@ -104,7 +107,7 @@ class Codec:
             raw = word.encode()
             ids = self.merge([self.inner[b] for b in raw[:-1]] + [self.last[raw[-1]]])
             found = len(ids), " ".join(map(str, ids)), self.decode(ids)
-            if len(self.known_words) < REMEMBERED:
+            if len(self.known_words) < REMEMBERED_WORDS:
                 self.known_words[word] = found
         return found
 
@@ -153,6 +156,7 @@ def _other(batch, *but: str) -> list[str]:
 
 def _digests(path: str, with_ids: bool):
     def run(batches):
+        release_memory()
         stretches = codec(path).stretches
         for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
             out = []

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
 import tempfile
 import uuid
@@ -163,3 +164,12 @@ def only(docs: DataFrame, keys: DataFrame) -> DataFrame:
         return keyed.join(chosen, keyed["doc_id"].eqNullSafe(chosen["__id"]) & (keyed["__tkey"] == chosen["__key"])).drop("__id", "__key")
     several = keep(keys.where("rows > 1"), "several")
     return part(keys.where("rows = 1")).union(part(several).dropDuplicates(["doc_id", "__tkey"])).drop("__tkey")
+
+
+def release_memory() -> None:
+    """Give back what earlier tasks of a reused Python worker have freed but its allocators still hold."""
+    _powers.cache_clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
