@@ -29,7 +29,7 @@ def fingerprints(texts: DataFrame, key: tuple[str, ...]) -> DataFrame:
     ``key`` tells rows apart; rows equal in it give one row. Blanks are space and the characters 9 to 13; equal words in
     the same order give equal fingerprints. Null, empty and blank texts share the fingerprint of an empty word.
     """
-    words = F.split(F.coalesce(F.ltrim("body"), F.lit("")), r"[\x20\x09-\x0D]+")
+    words = F.split(F.coalesce(F.btrim("body", F.lit(" \t\n\x0b\x0c\r")), F.lit("")), r"[\x20\x09-\x0D]+")
     rows = texts.select(*key, words.alias("w")).select(*key, F.inline(F.arrays_zip(F.col("w").alias("a"), F.slice("w", 2, F.size("w")).alias("b"))))
     high = F.xxhash64("a", "b")
     rows = rows.select(*key, high.alias("h1"), F.xxhash64(high, F.lit(1)).alias("h2"))
