@@ -94,7 +94,7 @@ MODEL_LABELS = {
     "ridge": "Ridge Regression",
     "forest": "Random Forest",
     "boosting": "Gradient Boosting",
-    "subsampled_boosting": "XGBoost",
+    "subsampled_boosting": "Subsampled Gradient Boosting",
 }
 RIDGE_GRID = {"alpha": [0.1, 1.0, 10.0, 100.0, 1000.0, 10000.0]}
 # MLlib accepts depths up to 30, so the wider depth ranges stop there.

@@ -84,8 +84,8 @@ def tune(df: DataFrame, kind: str, features: Sequence[str], grid: dict[str, list
     return fit(folded, kind, features, best, target), best, trials
 
 
-def importances(model: PipelineModel, features: Sequence[str], spark, top: int = 15) -> DataFrame:
-    """Feature importances of a tree model, strongest first."""
+def importances(model: PipelineModel, features: Sequence[str], spark, top: int | None = None) -> DataFrame:
+    """Feature importances of a tree model, strongest first, all or the ``top`` ones."""
     weights = model.stages[-1].featureImportances.toArray().tolist()
     table = spark.createDataFrame(list(zip(features, weights)), "feature string, importance double")
-    return table.orderBy(F.desc("importance"), "feature").limit(top)
+    return table.orderBy(F.desc("importance"), "feature").limit(top or len(features))

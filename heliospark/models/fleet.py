@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from heliospark import config
 from heliospark.models.ensembles import predict, timed_fit, tune
-from heliospark.models.evaluation import regression_metrics
+from heliospark.models.evaluation import rank_models, regression_metrics
 from heliospark.operators.features import impute_features
 from heliospark.operators.splits import split_train_test
 from heliospark.sources.intermediate import materialize
@@ -43,7 +43,8 @@ def train_fleet(features: DataFrame, fleet: DataFrame, columns: Sequence[str], k
 
     The training rows are written once, laid out by plant, so each MLlib fit reads only its plant.
     With ``grids`` each kind is tuned first. The driver loops over plants: for fleets of thousands use
-    ``fit_fleet_ridge``, which fits all plants in one job.
+    ``fit_fleet_ridge``, which fits all plants in one job. A plant that fails is left out whole, with
+    the kinds fitted before the failure.
     """
     run = FleetRun()
     chosen = fleet.where("reliable") if reliable_only else fleet
@@ -54,6 +55,7 @@ def train_fleet(features: DataFrame, fleet: DataFrame, columns: Sequence[str], k
     for (plant_id,) in chosen.select("plant_id").collect():
         mine = rows.where(F.col("plant_id") == plant_id)
         train = mine.where(F.col("split") == "train")
+        models, used, parts = {}, {}, []
         try:
             for kind in kinds:
                 given = (params or {}).get(kind)
@@ -61,13 +63,17 @@ def train_fleet(features: DataFrame, fleet: DataFrame, columns: Sequence[str], k
                     iterations = None if kind == "ridge" else n_iter
                     _, given, _ = tune(train, kind, columns, grids[kind], iterations)
                 model, seconds = timed_fit(train, kind, columns, given)
-                run.models[plant_id, kind] = model
-                run.params[plant_id, kind] = given or {}
-                scored.append(predict(model, mine).select(
+                models[plant_id, kind] = model
+                used[plant_id, kind] = given or {}
+                parts.append(predict(model, mine).select(
                     "plant_id", "split", "generation_kwh", "prediction",
                     F.lit(config.MODEL_LABELS[kind]).alias("model"), F.lit(seconds).alias("training_time")))
         except Exception as error:  # noqa: BLE001 - one plant must not stop the fleet
             run.failures[plant_id] = str(error)
+            continue
+        run.models |= models
+        run.params |= used
+        scored += parts
     if scored:
         all_rows = reduce(DataFrame.unionByName, scored)
         run.metrics = materialize(
@@ -75,6 +81,13 @@ def train_fleet(features: DataFrame, fleet: DataFrame, columns: Sequence[str], k
     return run
 
 
+def best_models(run: FleetRun) -> dict[int, PipelineModel]:
+    """Each plant's best model by test R2; one row per plant reaches the driver, which holds the models anyway."""
+    kinds = {label: kind for kind, label in config.MODEL_LABELS.items()}
+    best = rank_models(comparison(run)).where("rank = 1").select("plant_id", "model").collect()
+    return {row.plant_id: run.models[row.plant_id, kinds[row.model]] for row in best}
+
+
 def comparison(run: FleetRun) -> DataFrame:
     """Test metrics of a run, ready for ranking and the registry."""
     return run.metrics.where(F.col("split") == "test").drop("split")

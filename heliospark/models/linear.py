@@ -95,10 +95,10 @@ def score_fleet_ridge(df: DataFrame, coefficients: DataFrame, features: Sequence
     return scored.withColumn(output, F.when(raw.isNotNull(), F.greatest(raw, F.lit(0.0)))).drop("intercept", "coefficients")
 
 
-def ranked_coefficients(coefficients: DataFrame, features: Sequence[str], top: int = 15) -> DataFrame:
-    """Coefficients per plant by magnitude."""
+def ranked_coefficients(coefficients: DataFrame, features: Sequence[str], top: int | None = None) -> DataFrame:
+    """Coefficients per plant by magnitude, all or the ``top`` ones."""
     from heliospark.operators.kpi import top_by_magnitude
     names = F.array(*[F.lit(f) for f in features])
     long = coefficients.select("plant_id", F.posexplode("coefficients").alias("pos", "coefficient")).withColumn(
         "feature", F.get(names, F.col("pos"))).drop("pos")
-    return top_by_magnitude(long, "coefficient", "abs_coefficient", top)
+    return top_by_magnitude(long, "coefficient", "abs_coefficient", top or len(features))

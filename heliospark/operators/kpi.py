@@ -125,8 +125,8 @@ def top_by_magnitude(df: DataFrame, column: str, alias: str, n: int) -> DataFram
     return scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= n)
 
 
-def feature_stats(df: DataFrame, columns: Sequence[str], limit: int | None = 15) -> DataFrame:
-    """Mean, deviation, minimum and maximum per feature, in one aggregate pass."""
+def feature_stats(df: DataFrame, columns: Sequence[str], limit: int | None = None) -> DataFrame:
+    """Mean, deviation, minimum and maximum per feature, in one aggregate pass; ``limit`` keeps the first columns."""
     columns = list(columns)[:limit]
     stats = {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
     wide = df.groupBy("plant_id").agg(*[

@@ -34,12 +34,16 @@ def read_clean(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}")
 
 
-def save_run(models: dict[str, PipelineModel], metrics: DataFrame, directory: str,
+def save_run(models: dict[tuple[int, str], PipelineModel], metrics: DataFrame, directory: str,
              plants: DataFrame | None = None, features: list[str] | None = None) -> None:
-    """Save fitted models, the comparison registry and what is needed to score with them again."""
-    for name, model in models.items():
-        model.write().overwrite().save(f"{directory}/models/{_slug(name)}")
-    metrics.write.mode("overwrite").parquet(f"{directory}/model_comparison")
+    """Save fitted models by plant and kind, the comparison registry and what is needed to score with them again.
+
+    The registry is laid out by plant; a later run replaces the plants it holds and leaves the others.
+    """
+    for (plant, kind), model in models.items():
+        model.write().overwrite().save(_model_path(directory, plant, kind))
+    metrics.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("plant_id").parquet(
+        f"{directory}/model_comparison")
     if plants is not None:
         plants.write.mode("overwrite").parquet(f"{directory}/plant_info")
     if features is not None:
@@ -48,12 +52,12 @@ def save_run(models: dict[str, PipelineModel], metrics: DataFrame, directory: st
             "overwrite").parquet(f"{directory}/feature_columns")
 
 
-def load_model(directory: str, name: str) -> PipelineModel:
-    return PipelineModel.load(f"{directory}/models/{_slug(name)}")
+def load_model(directory: str, plant: int, kind: str) -> PipelineModel:
+    return PipelineModel.load(_model_path(directory, plant, kind))
 
 
 def load_registry(spark: SparkSession, directory: str) -> DataFrame:
-    return spark.read.parquet(f"{directory}/model_comparison")
+    return spark.read.parquet(f"{directory}/model_comparison").withColumn("plant_id", F.col("plant_id").cast("long"))
 
 
 def load_features(spark: SparkSession, directory: str) -> list[str]:
@@ -62,5 +66,5 @@ def load_features(spark: SparkSession, directory: str) -> list[str]:
     return [row.feature for row in rows]
 
 
-def _slug(name: str) -> str:
-    return name.lower().replace(" ", "_")
+def _model_path(directory: str, plant: int, kind: str) -> str:
+    return f"{directory}/models/plant_id={plant}/kind={kind}"

@@ -75,6 +75,6 @@ def _open(spark: SparkSession, path: str, schema: str | None, fmt: str | None) -
         reader = spark.read.schema(schema) if schema else spark.read
         return reader.parquet(path)
     except AnalysisException as error:
-        if "PATH_NOT_FOUND" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error):
+        if "PATH_NOT_FOUND" in str(error):
             return None
         raise

@@ -12,7 +12,7 @@ from heliospark import config
 from heliospark.functions import labels, numbers, times
 from heliospark.functions.solar import ineichen_ghi, with_clearsky, with_solar_position
 from heliospark.models import ensembles, linear
-from heliospark.models.fleet import comparison, train_fleet
+from heliospark.models.fleet import best_models, comparison, train_fleet
 from heliospark.operators import cleaning, completeness, daily, features, hourly, kpi, outlook, splits
 from heliospark.sources import intermediate, sinks, tables
 
@@ -363,11 +363,17 @@ def test_train_fleet_ranks_saves_and_isolates_failures(spark, fleet, tmp_path):
     table = comparison(run)
     assert table.where(F.col("plant_id") == A).count() == 4
     assert table.where("model = 'Ridge Regression' AND plant_id = 900001").first().r2 > 0.9
-    sinks.save_run({"a ridge": run.models[A, "ridge"]}, table, str(tmp_path / "run"), fleet, ["a", "b"])
-    again = sinks.load_model(str(tmp_path / "run"), "a ridge")
+    assert {plant for plant, _ in run.models} == {row.plant_id for row in table.select("plant_id").distinct().collect()}
+    assert A + 2 not in best_models(run) and set(best_models(run)) == {plant for plant, _ in run.models}
+    sinks.save_run(run.models, table, str(tmp_path / "run"), fleet, ["a", "b"])
+    again = sinks.load_model(str(tmp_path / "run"), A, "ridge")
     assert ensembles.predict(again, df).count() == df.count()
     assert sinks.load_features(spark, str(tmp_path / "run")) == ["a", "b"]
     assert sinks.load_registry(spark, str(tmp_path / "run")).count() == table.count()
+    sinks.save_run({}, table.where(F.col("plant_id") == A).limit(1), str(tmp_path / "run"))
+    kept = sinks.load_registry(spark, str(tmp_path / "run"))
+    assert kept.where(F.col("plant_id") == A).count() == 1
+    assert kept.where(F.col("plant_id") != A).count() == table.where(F.col("plant_id") != A).count()
 
 
 def test_tuning_prefers_the_better_alpha(spark):
