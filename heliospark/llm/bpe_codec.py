@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from heliospark.llm.shared import release_memory
+from heliospark.llm.shared import release_memory, remember
 
 VOCABULARY = "word_bpe_49k.json"
 SHORT = 128
@@ -145,6 +145,7 @@ class Codec:
         return " ".join(self.tokens[i] for i in ids if i in self.tokens)
 
 
+@remember
 @functools.lru_cache(maxsize=1)
 def codec(path: str) -> Codec:
     return Codec(path)
@@ -156,7 +157,7 @@ def _other(batch, *but: str) -> list[str]:
 
 def _digests(path: str, with_ids: bool):
     def run(batches):
-        release_memory()
+        release_memory(but=codec)
         stretches = codec(path).stretches
         for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
             out = []

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import functools
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -166,9 +167,21 @@ def only(docs: DataFrame, keys: DataFrame) -> DataFrame:
     return part(keys.where("rows = 1")).union(part(several).dropDuplicates(["doc_id", "__tkey"])).drop("__tkey")
 
 
-def release_memory() -> None:
-    """Give back what earlier tasks of a reused Python worker have freed but its allocators still hold."""
-    _powers.cache_clear()
+_REMEMBERED = [_powers]
+
+
+def remember(cached):
+    """Mark a cached function whose results a worker drops when it turns to another operator's heavy task."""
+    _REMEMBERED.append(cached)
+    return cached
+
+
+def release_memory(but=None) -> None:
+    """Give back what earlier tasks of a reused Python worker remember, or have freed but its allocators still hold."""
+    for cached in _REMEMBERED:
+        if cached is not but:
+            cached.cache_clear()
+    gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
