@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from heliospark.llm.shared import release_memory, remember
+from heliospark.llm.shared import remember, tidy
 
 VOCABULARY = "word_bpe_49k.json"
 SHORT = 128
@@ -156,8 +156,8 @@ def _other(batch, *but: str) -> list[str]:
 
 
 def _digests(path: str, with_ids: bool):
+    @tidy
     def run(batches):
-        release_memory(but=codec)
         stretches = codec(path).stretches
         for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
             out = []

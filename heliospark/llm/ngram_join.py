@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from heliospark.llm.components import components
-from heliospark.llm.shared import chunks, keep, mixed, only, release_memory, runs_of, signed, text_key, whole_hash, word_hashes
+from heliospark.llm.shared import chunks, keep, mixed, only, runs_of, signed, text_key, tidy, whole_hash, word_hashes
 
 WIDTH = 5
 PERCENT = 75
@@ -80,8 +80,8 @@ _SKETCH = "doc_id long, tkey long, cls long, n long, ranges binary, slice int, c
 
 
 def _sketch(width: int):
+    @tidy
     def run(batches):
-        release_memory()
         counts = np.zeros(1 << TABLE_BITS, np.int32)
         schema = pa.schema([("doc_id", pa.int64()), ("tkey", pa.int64()), ("cls", pa.int64()), ("n", pa.int64()),
                             ("ranges", pa.binary()), ("slice", pa.int32()), ("counts", pa.binary())])
@@ -133,8 +133,8 @@ _POSTING = "token long, salt int, cls long, n int, pos int"
 
 
 def _prefixes(counts, width: int, percent: int):
+    @tidy
     def run(batches):
-        release_memory()
         table = counts.value
         rank = np.empty(len(table), np.uint16)
         for at in range(0, len(table), 1 << 16):
@@ -334,8 +334,8 @@ def _suffix_fits(percent: int):
 
 
 def _verify(width: int, percent: int):
+    @tidy
     def run(batches):
-        release_memory()
         for batch in batches:
             left = [g for _, g in shingle_sets(batch.column("text_a"), width)]
             right = [g for _, g in shingle_sets(batch.column("text_b"), width)]

@@ -171,18 +171,28 @@ _REMEMBERED = [_powers]
 
 
 def remember(cached):
-    """Mark a cached function whose results a worker drops when it turns to another operator's heavy task."""
+    """Mark a cached function whose results a worker drops around heavy tasks."""
     _REMEMBERED.append(cached)
     return cached
 
 
-def release_memory(but=None) -> None:
-    """Give back what earlier tasks of a reused Python worker remember, or have freed but its allocators still hold."""
+def release_memory() -> None:
+    """Give back what tasks of a reused Python worker remember, or have freed but its allocators still hold."""
     for cached in _REMEMBERED:
-        if cached is not but:
-            cached.cache_clear()
+        cached.cache_clear()
     gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
         trim(0)
+
+
+def tidy(run):
+    """A heavy task that starts with free memory and leaves none behind: idle workers count against an executor too."""
+    def tidied(batches):
+        release_memory()
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+    return tidied

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from heliospark.llm.shared import chunks, keep, mixed, release_memory, runs_of, signed, text_key, word_hashes
+from heliospark.llm.shared import chunks, keep, mixed, runs_of, signed, text_key, tidy, word_hashes
 
 SPAN = 50
 ANCHOR = 16
@@ -129,8 +129,8 @@ def suffix_owners(group: np.ndarray, texts: list[bytes], doc: np.ndarray, span:
 
 
 def _trees(span: int):
+    @tidy
     def run(batches):
-        release_memory()
         held: list[pa.Table] = []
         rows = 0
 
