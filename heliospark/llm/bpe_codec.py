@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from heliospark.llm.shared import remember, tidy
+from heliospark.llm.shared import remember, small_batches, tidy
 
 VOCABULARY = "word_bpe_49k.json"
 SHORT = 128
@@ -213,5 +213,6 @@ def digests(docs: DataFrame, path: str | None = None, carry: tuple[str, ...] = (
     (decoded text in UTF-8), lower-case hex; ``with_ids`` adds ``ids``. Null, empty and blank texts have no token and the digests of an empty text.
     Each row stands alone: order, repeated rows and other columns do not matter, and an empty table gives an empty result.
     """
+    small_batches(docs.sparkSession)
     return docs.select(*carry, "text").mapInArrow(_digests(path or default_vocabulary(), with_ids),
                                                  _named(docs, carry) + ", n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids)

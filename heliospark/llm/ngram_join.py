@@ -98,11 +98,11 @@ def _sketch(width: int):
                 pa.array([_class_id(g) if len(g) else None for g in sets], pa.int64()),
                 pa.array([len(g) for g in sets], pa.int64()), pa.array([_ranges(g) for g in sets], pa.binary()),
                 pa.array(nothing, pa.int32()), pa.array(nothing, pa.binary())], schema=schema)
-        pieces = [(i, p) for i, p in enumerate(np.split(counts, SLICES)) if p.any()]
-        none = pa.array([None] * len(pieces), pa.int64())
-        yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array([None] * len(pieces), pa.binary()),
-                                          pa.array([i for i, _ in pieces], pa.int32()),
-                                          pa.array([p.tobytes() for _, p in pieces], pa.binary())], schema=schema)
+        none = pa.array([None], pa.int64())
+        for i, piece in enumerate(np.split(counts, SLICES)):
+            if piece.any():
+                yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array([None], pa.binary()), pa.array([i], pa.int32()),
+                                                  pa.array([piece.tobytes()], pa.binary())], schema=schema)
     return run
 
 
@@ -114,8 +114,8 @@ def _add_counts(kind):
             for i, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
                 part = np.frombuffer(blob.as_py(), kind)
                 total[i] = total[i] + part if i in total else part.astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([v.tobytes() for v in total.values()], pa.binary())],
-                                         names=["slice", "counts"])
+        for i, part in total.items():
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([part.tobytes()], pa.binary())], names=["slice", "counts"])
     return run
 
 

@@ -16,9 +16,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHUNK_BYTES = 1 << 20
+BATCH = "4m"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Tasks get texts in Arrow batches of ``BATCH`` bytes, unless the session sets a size itself: a batch is held several times."""
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``, or one made for local runs where it is unset."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -32,6 +39,7 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
+    small_batches(spark)
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
@@ -43,6 +51,7 @@ def keep(df: DataFrame, name: str) -> DataFrame:
 
 
 def read(spark: SparkSession, directory: str, table: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{directory}/{table}.parquet")
 
 
