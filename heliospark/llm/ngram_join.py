@@ -10,8 +10,8 @@
    verified once on the whole texts.
 4. Links so far give components. Only shingle groups that still span several components can hide a link that matters:
    there, pairs from different components are generated in bounded blocks and verified: first a few partners for each
-   class, which joins most components, then all pairs that are left. What of a prefix no other
-   document shares bounds a document's overlap with any other, which leaves few such pairs.
+   class, which joins most components, then all pairs that are left. What of a prefix no other prefix
+   shares bounds a document's overlap with any that is not larger, which leaves few such pairs.
 
 Pairs inside a component that is already connected are never expanded, so a group of near copies costs a few pairs for
 each member while components stay exact.
@@ -295,7 +295,10 @@ def _cross(percent: int):
 def _bounded(c, x, y, percent: int) -> np.ndarray:
     """Whether two entries of one shingle, from different components, may link."""
     fits = (c["comp"][x] != c["comp"][y]) & may_reach(c["n"][x], c["pos"][x], c["n"][y], c["pos"][y], percent)
-    fits &= np.minimum(c["most"][x], c["most"][y]) * (100 + percent) >= percent * (c["n"][x] + c["n"][y])
+    # the larger set's bound only: what of its prefix lies in the smaller's suffix is less than that suffix, which is no longer than its own
+    larger = np.where(c["n"][x] > c["n"][y], x, y)
+    most = np.where(c["n"][x] == c["n"][y], np.minimum(c["most"][x], c["most"][y]), c["most"][larger])
+    fits &= most * (100 + percent) >= percent * (c["n"][x] + c["n"][y])
     at = np.flatnonzero(fits)
     fits[at] = suffix_fits(c["ranges"][x[at]], c["ranges"][y[at]], c["n"][x[at]] + c["n"][y[at]], percent)
     return fits
@@ -393,7 +396,7 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     across = heads.join(heads.groupBy("token").agg(F.min("a").alias("b")), "token").where("a <> b")
     first = _links(met.where("kind = 1").select("a", "b").union(across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))),
                    classes, keyed, width, percent)
-    # shingles of the prefix that no other prefix holds cannot be shared: the rest bounds any overlap
+    # an upper bound of the overlap with any set that is not larger; a larger one may hold more of the prefix in its suffix
     shared = met.where("kind = 4").groupBy("a").agg(F.sum("n").alias("shared"))
     prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
     opened = keep(met.where("kind = 2").select("token", "a", "n", "pos").join(shared, "a")

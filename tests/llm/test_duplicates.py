@@ -43,6 +43,20 @@ def test_near_copies_that_only_chain(spark, monkeypatch):
     assert _groups(df) == brute.similar_groups(rows)
 
 
+@pytest.mark.parametrize("own", [20, 7])
+def test_a_base_and_many_longer_versions(spark, own):
+    """Versions link with their base only, which lies beyond the prefixes that versions share with each other."""
+    random = np.random.default_rng(own)
+    base = [f"w{i}" for i in range(84)]
+    texts = [" ".join(base)] + [" ".join(base + [f"v{d}x{i}" for i in range(own)]) for d in range(40)]
+    rows = [(int(d), t) for d, t in zip(random.permutation(len(texts)), texts)]
+    rows = [rows[i] for i in random.permutation(len(rows))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    want = brute.similar_groups(rows)
+    assert {c for _, _, c in want} == {0}
+    assert _groups(df) == want
+
+
 def test_bounds_never_drop_a_link():
     random = np.random.default_rng(5)
     for _ in range(300):
