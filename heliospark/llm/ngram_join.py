@@ -354,8 +354,13 @@ def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, pe
     side = lambda s: classes.select(F.col("cls").alias(s), F.col("doc_id").alias(f"doc_{s}"), F.col("tkey").alias(f"tkey_{s}"), F.col("ranges").alias(f"ranges_{s}"))
     found = pairs.distinct().join(side("a"), "a").join(side("b"), "b")
     found = found.mapInArrow(_suffix_fits(percent), "a long, b long, doc_a long, tkey_a long, doc_b long, tkey_b long")
-    text = lambda s: docs.select(F.col("doc_id").alias(f"doc_{s}"), F.col("tkey").alias(f"tkey_{s}"), F.col("text").alias(f"text_{s}"))
-    found = found.join(text("a"), ["doc_a", "tkey_a"]).join(text("b"), ["doc_b", "tkey_b"])
+    # a class without an id takes its text from one of its rows: many may share a null and a text
+    texts = docs.where("doc_id IS NOT NULL").union(docs.where("doc_id IS NULL").groupBy("doc_id", "tkey").agg(F.min("text").alias("text")).select(docs.columns))
+
+    def with_text(found, s):
+        text = texts.select(F.col("doc_id").alias("__id"), F.col("tkey").alias("__key"), F.col("text").alias(f"text_{s}"))
+        return found.join(text, F.col(f"doc_{s}").eqNullSafe(F.col("__id")) & (F.col(f"tkey_{s}") == F.col("__key"))).drop("__id", "__key")
+    found = with_text(with_text(found, "a"), "b")
     return keep(found.select("a", "b", "text_a", "text_b").mapInArrow(_verify(width, percent), "a long, b long"), "verified")
 
 
@@ -375,16 +380,22 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     ``docs`` needs ``doc_id`` and ``text``; other columns are not read. Returns one row for each input row: ``doc_id``,
     ``tkey`` (hash of the text), ``n_shingles`` and ``component_id``, the smallest doc_id reachable. Null, empty and
     blank texts have no shingle, link with nothing and are their own component; a text of fewer than ``width`` words is
-    one shingle. Repeated rows, also with the same doc_id, are each returned. An empty table gives an empty result.
+    one shingle. Repeated rows, also with the same doc_id, are each returned. A row with a null doc_id links by its text
+    like any other; ``component_id`` is null where no row reachable has a doc_id. An empty table gives an empty result.
     Shingles and sets are compared by 64-bit hashes.
     """
+    return labelled_groups(docs, width, percent).drop("label")
+
+
+def labelled_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """``similar_groups`` with ``label``, which tells groups apart also where they share a doc_id or have none; null without shingles."""
     spark: SparkSession = docs.sparkSession
     keyed = docs.select("doc_id", "text").withColumn("tkey", text_key())
     sketch = keep(keyed.mapInArrow(_sketch(width), _SKETCH), "sketch")
     counts = spark.sparkContext.broadcast(frequencies(sketch))
     per_doc = sketch.where("slice IS NULL").select("doc_id", "tkey", "cls", "n", "ranges")
     classes = keep(per_doc.where("cls IS NOT NULL").groupBy("cls").agg(
-        F.min(F.struct("doc_id", "tkey")).alias("d"), F.min("ranges").alias("ranges"))
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "tkey")).alias("d"), F.min("ranges").alias("ranges"))  # a null id only if there is no other
         .select("cls", "d.doc_id", "d.tkey", "ranges"), "classes")
 
     postings = keyed.select("text").mapInArrow(_prefixes(counts, width, percent), _POSTING)
@@ -413,19 +424,19 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     named = (classes.select("cls", "doc_id").join(whole.withColumnRenamed("node", "cls"), "cls", "left")
              .withColumn("label", F.coalesce("label", "cls")))
     least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    of_class = named.join(least, "label").select("cls", "component_id")
+    of_class = named.join(least, "label").select("cls", "label", "component_id")
     return (per_doc.join(of_class, "cls", "left")
-            .select("doc_id", "tkey", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")))
+            .select("doc_id", "tkey", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "label"))
 
 
 def one_of_each(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """One row of each group of similar documents, that with the smallest doc_id (ties: smallest hash of the text).
+    """One row of each group of similar documents, that with the smallest doc_id (ties: smallest hash of the text; a null doc_id comes last).
 
-    Documents without words are no group and all stay. All columns of ``docs`` are returned unchanged.
+    Groups that share a doc_id but no link each keep a row. Documents without words are no group and all stay. All columns of ``docs`` are returned unchanged.
     """
-    groups = keep(similar_groups(docs, width, percent), "groups")
+    groups = keep(labelled_groups(docs, width, percent), "groups")
     wordless = groups.where("n_shingles = 0").select("doc_id", "tkey").distinct()
-    first = groups.where("n_shingles > 0").groupBy("component_id").agg(F.min(F.struct("doc_id", "tkey")).alias("k")).select("k.doc_id", "k.tkey")
+    first = groups.where("n_shingles > 0").groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "tkey")).alias("k")).select("k.doc_id", "k.tkey")
     rows = groups.where("n_shingles > 0").groupBy("doc_id", "tkey").agg(F.count("*").alias("rows"))
     match = first["doc_id"].eqNullSafe(rows["doc_id"]) & (first["tkey"] == rows["tkey"])
     chosen = first.join(rows, match).select(first["doc_id"], first["tkey"], "rows").union(wordless.withColumn("rows", F.lit(1)))

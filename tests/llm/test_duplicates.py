@@ -82,6 +82,20 @@ def test_one_of_each_keeps_one_row_of_a_group(odd):
     assert ids.count(14) <= 1
 
 
+def test_null_and_shared_ids(spark):
+    """A null id takes no links from others, groups without any id hold together, and a shared id joins nothing."""
+    x, y, z = ([f"{c}{i}" for i in range(60)] for c in "xyz")
+    near = lambda words, d: " ".join([*words[:59], f"end{d}"])
+    rows = [(None, " ".join(x)), (4, " ".join(x)), (5, near(x, 1)), (6, near(x, 2)), (None, " ".join(y)), (None, " ".join(y)), (None, near(y, 1)), (None, near(y, 2)),
+            (7, " ".join(z)), (7, "same id, other text")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {tuple(r) for r in ngram_join.similar_groups(df).select("doc_id", "n_shingles", "component_id").collect()}
+    assert got == {(None, 56, 4), (4, 56, 4), (5, 56, 4), (6, 56, 4), (None, 56, None), (7, 56, 7), (7, 1, 7)}
+    kept = [tuple(r) for r in ngram_join.one_of_each(df).collect()]
+    assert len(kept) == 4 and {(4, " ".join(x)), (7, " ".join(z)), (7, "same id, other text")} < set(kept)
+    assert [d for d, t in kept if t.startswith("y0")] == [None]
+
+
 def test_components(spark):
     links = spark.createDataFrame([(1, 2), (2, 3), (9, 8), (7, 9), (5, 5), (3, 1)] + [(i, i + 1) for i in range(100, 160)], "a long, b long")
     got = {r.node: r.label for r in components.components(links).collect()}
