@@ -24,7 +24,7 @@ SAMPLE = 40_000  # rows that fit the centroids, at most
 REPLICAS = 4
 BOUNDARY = 1.15
 RATIO = 1.6
-MAX_PROBES = 40
+FIRST_PROBES = 40  # lists looked up in the graph before a query is compared with all centroids
 MIN_VECTORS = 2000
 SHARD = 4096
 DEGREE = 16
@@ -144,6 +144,31 @@ def _postings(shared):
     return run
 
 
+def chosen_lists(graph: CentroidGraph, queries: np.ndarray, sizes: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row and list of all lists within the ratio of a query's nearest, and of the nearest until ``least`` vectors are held.
+
+    The beam settles a query when its last centroid is beyond both; the others are compared with all centroids.
+    """
+    def take(lists, dist):
+        held = np.cumsum(np.where(lists >= 0, sizes[lists], 0), 1)
+        before = np.column_stack([np.zeros(len(held)), held[:, :-1]])
+        return (lists >= 0) & ((dist <= RATIO * dist[:, :1]) | (before < least))
+
+    lists, dist = graph.search(queries, min(FIRST_PROBES, len(graph.centroids)))
+    good = take(lists, dist)
+    wide = np.flatnonzero(good[:, -1] | (lists[:, -1] < 0))
+    good[wide] = False
+    row, column = np.nonzero(good)
+    rows, found = [row], [lists[row, column]]
+    for part in np.array_split(wide, math.ceil(len(wide) / 128)) if len(wide) else []:
+        dist = _distances(queries[part], graph.centroids)
+        lists = dist.argsort(1, kind="stable")
+        row, column = np.nonzero(take(lists, np.take_along_axis(dist, lists, 1)))
+        rows.append(part[row])
+        found.append(lists[row, column])
+    return np.concatenate(rows), np.concatenate(found)
+
+
 def _probes(shared, sizes: np.ndarray, k: int):
     def run(batches):
         graph, _ = shared.value
@@ -151,12 +176,8 @@ def _probes(shared, sizes: np.ndarray, k: int):
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)
                 vectors = _rows(part.column("v"))
-                lists, dist = graph.search(np.column_stack([vectors, np.zeros(len(vectors))]), len(graph.centroids) if sizes.sum() <= REPLICAS * MIN_VECTORS else MAX_PROBES)
-                held = np.cumsum(np.where(lists >= 0, sizes[lists], 0), 1)
-                before = np.column_stack([np.zeros(len(held)), held[:, :-1]])
-                take = (lists >= 0) & ((dist <= RATIO * dist[:, :1]) | (before < max(MIN_VECTORS, 40 * k)))
-                row, column = np.nonzero(take)
-                yield pa.RecordBatch.from_arrays([pa.array(lists[row, column].astype(np.int32)), part.column("vec_id").take(pa.array(row)), part.column("v").take(pa.array(row))],
+                row, found = chosen_lists(graph, np.column_stack([vectors, np.zeros(len(vectors))]), sizes, max(MIN_VECTORS, 40 * k))
+                yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), part.column("vec_id").take(pa.array(row)), part.column("v").take(pa.array(row))],
                                                  names=["list", "query_id", "q"])
     return run
 

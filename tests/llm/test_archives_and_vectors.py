@@ -1,7 +1,9 @@
 import hashlib
+import types
 
 import corpus_pipeline
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -79,6 +81,21 @@ def test_neighbours(spark, scaled):
     assert found >= 0.9 * 20 * len(got)
 
 
+def test_every_list_within_the_ratio_is_probed():
+    """Far more lists than the graph is asked for first, nearly all of them within the ratio of the nearest."""
+    random = np.random.default_rng(9)
+    graph = vector_search.CentroidGraph(random.normal(size=(600, 48)))
+    queries, sizes = random.normal(size=(20, 48)), np.full(600, 100)
+    ids, vectors = pa.array(range(20), pa.int64()), [q[:47].tolist() for q in queries]
+    batch = pa.RecordBatch.from_arrays([ids, pa.array(vectors, pa.list_(pa.float64()))], names=["vec_id", "v"])
+    shared = types.SimpleNamespace(value=(graph, 1.0))
+    got = {(q, c) for b in vector_search._probes(shared, sizes, 20)([batch]) for q, c in zip(b.column("query_id").to_pylist(), b.column("list").to_pylist())}
+    dist = ((np.column_stack([queries[:, :47], np.zeros(20)])[:, None] - graph.centroids) ** 2).sum(2)
+    want = {(q, c) for q in range(20) for c in range(600) if dist[q, c] <= vector_search.RATIO * dist[q].min()}
+    assert len(want) > 20 * 40 and want <= got
+    assert all(sum(q == i for q, _ in got) < 600 for i in range(20))
+
+
 def test_vectors_that_take_no_part(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 0.0]), (3, None), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [None, 1.0]), (7, []), (8, [1.0, 2.0, 3.0]), (20, [0.5, 0.5]), (20, [0.5, 0.5]), (None, [1.0, 1.0])]
