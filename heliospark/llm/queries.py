@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from heliospark.llm import bpe_codec, license_scan, ngram_join, quality_rff, simhash, source_mix, substring_dedup, token_counts, vector_search, warc
+from heliospark.llm import (
+    bpe_codec, conversation_repair, license_scan, ngram_join, packing, prefix_trie, quality_rff, simhash, source_mix,
+    substring_dedup, token_counts, vector_search, warc)
 from heliospark.llm.shared import read
 
 
@@ -49,7 +51,19 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(read(spark, sf_dir, "documents")).drop("kept_text")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(read(spark, sf_dir, "conversations"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(read(spark, sf_dir, "conversations"))
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_token_counts, op3_source_mix, op4_quality_rff, op5_bpe_codec, op6_ngram_jaccard_join,
-    op7_warc, op8_vector_search, op9_simhash, op10_substring_dedup)}
+    op7_warc, op8_vector_search, op9_simhash, op10_substring_dedup, op11_conversation_repair, op12_prefix_trie, op13_packing)}
 ORACLE_SQL: dict[str, str] = {}

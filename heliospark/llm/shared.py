@@ -33,9 +33,8 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
         raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    folder = tempfile.mkdtemp(prefix="heliospark-llm-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="heliospark-llm-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
