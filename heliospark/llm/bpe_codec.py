@@ -17,13 +17,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from heliospark.llm.shared import remember, small_batches, tidy
+from heliospark.llm.shared import small_batches, tidy
 
 VOCABULARY = "word_bpe_49k.json"
 SHORT = 128
 ROWS = 1000  # texts whose results are held at once
-REMEMBERED = 150_000  # stretches between blanks of which a worker keeps the encoding; others are encoded again
-REMEMBERED_WORDS = 60_000
+REMEMBERED = 150_000  # words in each of two generations of which a worker keeps the encoding; others are encoded again
+LONGEST = 64  # longer words are not kept
 _NO_RANK = 1 << 60
 _ID = (1 << 20) - 1
 _BLANK = "\\x09-\\x0D\\x20\\x85\\xA0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000"
@@ -41,6 +41,26 @@ def _byte_symbols() -> list[str]:
     return [chr(b) if b in plain else chr(next(rest)) for b in range(256)]
 
 
+class Memory(dict):
+    """Encodings of the words met lately: a full generation becomes the older one, from which words met again come back."""
+
+    def __init__(self, make):
+        self.make, self.older = make, {}
+
+    def __missing__(self, word: str):
+        found = self.older.pop(word, None) or self.make(word)
+        if len(word) <= LONGEST:
+            if len(self) >= REMEMBERED:
+                self.older = dict(self)
+                self.clear()
+            self[word] = found
+        return found
+
+    def forget(self) -> None:
+        self.clear()
+        self.older = {}
+
+
 class Codec:
     def __init__(self, path: str):
         import regex
@@ -58,10 +78,8 @@ class Codec:
         self.inner = [self.vocabulary[s] for s in symbols]
         self.last = [self.vocabulary[s + self.end] for s in symbols]
         self.split = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_BLANK}\p{{L}}\p{{N}}]+").findall
-        self.blank = regex.compile(f"[{_BLANK}]+").split
         self.specials = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")").split if added else None
-        self.known_words: dict[str, tuple[int, str, str]] = {}
-        self.known: dict[str, tuple[int, str, str]] = {}
+        self.memory = Memory(self.word)
 
     def merge(self, parts: list[int]) -> list[int]:
         """Merge adjacent parts, least rank first and leftmost on ties, until none is left."""
@@ -102,52 +120,36 @@ class Codec:
         return [p for p, live in zip(parts, alive) if live]
 
     def word(self, word: str) -> tuple[int, str, str]:
-        found = self.known_words.get(word)
-        if found is None:
-            raw = word.encode()
-            ids = self.merge([self.inner[b] for b in raw[:-1]] + [self.last[raw[-1]]])
-            found = len(ids), " ".join(map(str, ids)), self.decode(ids)
-            if len(self.known_words) < REMEMBERED_WORDS:
-                self.known_words[word] = found
-        return found
+        """Tokens, ids and token texts of a word."""
+        raw = word.encode()
+        ids = self.merge([self.inner[b] for b in raw[:-1]] + [self.last[raw[-1]]])
+        return len(ids), " ".join(map(str, ids)), self.decode(ids)
 
     def _plain(self, text: str) -> list[tuple[int, str, str]]:
         if not text.isascii():
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        return list(map(self.word, self.split(text.lower())))
-
-    def stretch(self, text: str) -> tuple[int, str, str]:
-        """Tokens, ids and token texts of what stands between blanks."""
-        found = self.known.get(text)
-        if found is None:
-            words = []
-            for k, part in enumerate(self.specials(text) if self.specials else [text]):
-                words += [(1, str(self.special[part]), part)] if k % 2 else self._plain(part)
-            if len(words) == 1:
-                found = words[0]
-            else:
-                counts, ids, tokens = zip(*words) if words else ((), (), ())
-                found = sum(counts), " ".join(ids), " ".join(tokens)
-            if len(self.known) < REMEMBERED and len(text) < 64:
-                self.known[text] = found
+        return list(map(self.memory.__getitem__, self.split(text.lower())))
+
+    def words(self, text: str) -> list[tuple[int, str, str]]:
+        """Encodings of a text's words in order; a special token's string is one."""
+        if not any(s in text for s in self.special):
+            return self._plain(text)
+        found = []
+        for k, part in enumerate(self.specials(text)):
+            found += [(1, str(self.special[part]), part)] if k % 2 else self._plain(part)
         return found
 
-    def stretches(self, text: str) -> list[tuple[int, str, str]]:
-        pieces = self.blank(text) if any(c in text for c in "\x1c\x1d\x1e\x1f") else text.split()
-        get, stretch = self.known.get, self.stretch
-        return [s for p in pieces if p and (s := get(p) or stretch(p))[0]]
-
     def encode(self, text: str | None) -> list[int]:
-        return [int(i) for s in self.stretches(text or "") for i in s[1].split(" ")]
+        return [int(i) for w in self.words(text or "") for i in w[1].split(" ")]
 
     def decode(self, ids: list[int]) -> str:
         """Token texts joined by a blank, as a vocabulary without a decoder gives them; unknown ids are left out."""
         return " ".join(self.tokens[i] for i in ids if i in self.tokens)
 
 
-@remember
 @functools.lru_cache(maxsize=1)
 def codec(path: str) -> Codec:
+    """The vocabulary, kept from task to task; what a task remembers of words goes when it ends."""
     return Codec(path)
 
 
@@ -156,21 +158,26 @@ def _other(batch, *but: str) -> list[str]:
 
 
 def _digests(path: str, with_ids: bool):
-    @tidy
     def run(batches):
-        stretches = codec(path).stretches
+        words = codec(path).words
         for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
             out = []
             for text in batch.column("text").to_pylist():
-                found = stretches(text or "")
-                counts, ids, tokens = zip(*found) if found else ((), (), ())
+                counts, ids, tokens = zip(*found) if (found := words(text or "")) else ((), (), ())
                 ids = " ".join(ids)
                 out.append((sum(counts), hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(" ".join(tokens).encode()).hexdigest(),
                             np.fromstring(ids, np.int32, sep=" ") if with_ids else None))
             names, found = _other(batch, "text"), ["n_tokens", "ids_sha256", "decoded_sha256", "ids"][:4 if with_ids else 3]
             types = (pa.int64(), pa.string(), pa.string(), pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column(n) for n in names] + [pa.array([o[i] for o in out], types[i]) for i in range(len(found))], names=[*names, *found])
-    return run
+
+    @tidy
+    def clean(batches):
+        try:
+            yield from run(batches)
+        finally:
+            codec(path).memory.forget()
+    return clean
 
 
 def _ids(path: str):

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from heliospark.llm.shared import keep
 
 _MAX_ROUNDS = 60
+_ROWS = 200_000  # links in a file of a round
 
 
 def _both(links: DataFrame) -> DataFrame:
@@ -35,10 +36,12 @@ def components(links: DataFrame) -> DataFrame:
     """
     ordered = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     current, before = keep(ordered, "links"), None
+    parts = int(links.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     for _ in range(_MAX_ROUNDS):
         state = current.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == before:
             return current.select(F.col("a").alias("node"), F.col("b").alias("label"))
         before = state
-        current = keep(_star(_star(current, True), False), "links")
+        moved = _star(_star(current, True), False)
+        current = keep(moved if state[0] > parts * _ROWS else moved.coalesce(max(1, -(-state[0] // _ROWS))), "links")
     raise RuntimeError("components did not settle")

@@ -18,6 +18,13 @@ def writer(uri: str):
     return system.open_output_stream(path, compression=None)
 
 
+def batches_of(uri: str):
+    """Record batches of a Parquet table."""
+    from pyarrow import dataset
+    system, path = _filesystem(uri)
+    return dataset.dataset(path, filesystem=system, format="parquet").to_batches()
+
+
 class RangeReader:
     """Byte ranges of files; keeps the last file open."""
 

@@ -28,7 +28,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from heliospark.llm.components import components
-from heliospark.llm.shared import chunks, keep, mixed, only, runs_of, signed, text_key, tidy, whole_hash, word_hashes
+from heliospark.llm.files import batches_of
+from heliospark.llm.shared import chunks, fresh_path, keep, mixed, only, runs_of, signed, text_key, tidy, whole_hash, word_hashes
 
 WIDTH = 5
 PERCENT = 75
@@ -119,23 +120,30 @@ def _add_counts(kind):
     return run
 
 
-def frequencies(sketch: DataFrame) -> np.ndarray:
-    """Documents of each counter; broadcast, of fixed size."""
+def frequencies(sketch: DataFrame) -> str:
+    """Documents of each counter, summed by tasks into a table of fixed size in the shared folder, for tasks to read: its path."""
     rows = sketch.where("slice IS NOT NULL").select("slice", "counts")
     rows = rows.mapInArrow(_add_counts(np.int32), "slice int, counts binary").repartition(SLICES, "slice").mapInArrow(_add_counts(np.int64), "slice int, counts binary")
-    counts = np.zeros((SLICES, (1 << TABLE_BITS) // SLICES), np.int64)
-    for i, blob in rows.collect():
-        counts[i] += np.frombuffer(blob, np.int64)
-    return np.minimum(counts.reshape(-1), 2**31 - 1).astype(np.int32)
+    path = fresh_path(sketch.sparkSession, "frequencies")
+    rows.write.parquet(path)
+    return path
+
+
+def read_frequencies(path: str) -> np.ndarray:
+    counts = np.zeros((SLICES, (1 << TABLE_BITS) // SLICES), np.int32)
+    for batch in batches_of(path):
+        for i, blob in zip(batch.column("slice").to_pylist(), batch.column("counts")):
+            counts[i] = np.minimum(np.frombuffer(blob.as_buffer(), np.int64), 2**31 - 1)
+    return counts.reshape(-1)
 
 
 _POSTING = "token long, salt int, cls long, n int, pos int"
 
 
-def _prefixes(counts, width: int, percent: int):
+def _prefixes(path: str, width: int, percent: int):
     @tidy
     def run(batches):
-        table = counts.value
+        table = read_frequencies(path)
         rank = np.empty(len(table), np.uint16)
         for at in range(0, len(table), 1 << 16):
             rank[at:at + (1 << 16)] = np.log2(1.0 + table[at:at + (1 << 16)]) * 256
@@ -299,8 +307,9 @@ def _bounded(c, x, y, percent: int) -> np.ndarray:
     larger = np.where(c["n"][x] > c["n"][y], x, y)
     most = np.where(c["n"][x] == c["n"][y], np.minimum(c["most"][x], c["most"][y]), c["most"][larger])
     fits &= most * (100 + percent) >= percent * (c["n"][x] + c["n"][y])
-    at = np.flatnonzero(fits)
-    fits[at] = suffix_fits(c["ranges"][x[at]], c["ranges"][y[at]], c["n"][x[at]] + c["n"][y[at]], percent)
+    left = np.flatnonzero(fits)
+    for at in np.split(left, range(20_000, len(left), 20_000)):  # ranges are half a kilobyte: only some pairs' at once
+        fits[at] = suffix_fits(c["ranges"][x[at]], c["ranges"][y[at]], c["n"][x[at]] + c["n"][y[at]], percent)
     return fits
 
 
@@ -350,12 +359,16 @@ def _verify(width: int, percent: int):
     return run
 
 
-def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+def _one_of_repeated(docs: DataFrame, repeated: DataFrame) -> DataFrame:
+    """Rows of ``docs``, those equal in id and text once; ``repeated`` has the keys of such rows, few as a rule."""
+    same = docs["doc_id"].eqNullSafe(repeated["__id"]) & (docs["tkey"] == repeated["__key"])
+    return docs.join(repeated, same, "left_anti").union(docs.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "tkey"]))
+
+
+def _links(pairs: DataFrame, classes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     side = lambda s: classes.select(F.col("cls").alias(s), F.col("doc_id").alias(f"doc_{s}"), F.col("tkey").alias(f"tkey_{s}"), F.col("ranges").alias(f"ranges_{s}"))
     found = pairs.distinct().join(side("a"), "a").join(side("b"), "b")
     found = found.mapInArrow(_suffix_fits(percent), "a long, b long, doc_a long, tkey_a long, doc_b long, tkey_b long")
-    # a class without an id takes its text from one of its rows: many may share a null and a text
-    texts = docs.where("doc_id IS NOT NULL").union(docs.where("doc_id IS NULL").groupBy("doc_id", "tkey").agg(F.min("text").alias("text")).select(docs.columns))
 
     def with_text(found, s):
         text = texts.select(F.col("doc_id").alias("__id"), F.col("tkey").alias("__key"), F.col("text").alias(f"text_{s}"))
@@ -364,16 +377,20 @@ def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, pe
     return keep(found.select("a", "b", "text_a", "text_b").mapInArrow(_verify(width, percent), "a long, b long"), "verified")
 
 
-def _spread(opened: DataFrame, links: DataFrame, classes: DataFrame) -> DataFrame:
-    """Entries of shingles whose classes the links leave in several components, with component and block."""
-    labels = components(links).select(F.col("node").alias("a"), "label")
-    entries = keep(opened.join(labels, "a", "left").withColumn("comp", F.coalesce("label", "a")).drop("label"), "labelled")
+def _spread(opened: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
+    """Entries of shingles whose classes the labels (a, b: its component) leave in several components, with component and block."""
+    entries = keep(opened.join(labels, "a", "left").withColumn("comp", F.coalesce("b", "a")).drop("b"), "labelled")
     sizes = entries.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size")).where("lo <> hi")
     sizes = sizes.select("token", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
     entries = entries.join(sizes, "token").withColumn("own", F.pmod(F.xxhash64("a"), "blocks").cast("int"))
     return entries.join(classes.select(F.col("cls").alias("a"), "ranges"), "a")
 
 
+def _labels(links: DataFrame) -> DataFrame:
+    """Components as links from each node to its label, which stand for all links so far."""
+    return components(links).select(F.col("node").alias("a"), F.col("label").alias("b"))
+
+
 def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """Group documents by chains of links; two link when 100 * |A and B| >= percent * |A or B| for their shingle sets.
 
@@ -392,12 +409,15 @@ def labelled_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     spark: SparkSession = docs.sparkSession
     keyed = docs.select("doc_id", "text").withColumn("tkey", text_key())
     sketch = keep(keyed.mapInArrow(_sketch(width), _SKETCH), "sketch")
-    counts = spark.sparkContext.broadcast(frequencies(sketch))
+    counts = frequencies(sketch)
     per_doc = sketch.where("slice IS NULL").select("doc_id", "tkey", "cls", "n", "ranges")
     classes = keep(per_doc.where("cls IS NOT NULL").groupBy("cls").agg(
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "tkey")).alias("d"), F.min("ranges").alias("ranges"))  # a null id only if there is no other
         .select("cls", "d.doc_id", "d.tkey", "ranges"), "classes")
 
+    several = per_doc.groupBy(F.col("doc_id").alias("__id"), F.col("tkey").alias("__key")).agg(F.count("*").alias("rows")).where("rows > 1")
+    texts = _one_of_repeated(keyed, keep(several.select("__id", "__key"), "repeated"))
+
     postings = keyed.select("text").mapInArrow(_prefixes(counts, width, percent), _POSTING)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     met = (postings.repartition(parts, "token", "salt").sortWithinPartitions("token", "salt", "cls")
@@ -406,20 +426,22 @@ def labelled_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     heads = met.where("kind = 3").select("token", "a")
     across = heads.join(heads.groupBy("token").agg(F.min("a").alias("b")), "token").where("a <> b")
     first = _links(met.where("kind = 1").select("a", "b").union(across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))),
-                   classes, keyed, width, percent)
+                   classes, texts, width, percent)
     # an upper bound of the overlap with any set that is not larger; a larger one may hold more of the prefix in its suffix
     shared = met.where("kind = 4").groupBy("a").agg(F.sum("n").alias("shared"))
     prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
     opened = keep(met.where("kind = 2").select("token", "a", "n", "pos").join(shared, "a")
                   .withColumn("most", F.col("n") - prefix + F.col("shared")).drop("shared"), "open")
-    some = _spread(opened, first, classes).select("token", "own", "a", "n", "pos", "comp", "most", "ranges")
+    labels = _labels(first)
+    some = _spread(opened, labels, classes).select("token", "own", "a", "n", "pos", "comp", "most", "ranges")
     some = some.repartition(parts, "token", "own").sortWithinPartitions("token", "own").mapInArrow(_some(percent, PARTNERS), "a long, b long")
-    second = first.union(_links(some, classes, keyed, width, percent))
-    blocks = _spread(opened, second, classes).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    second = labels.union(_links(some, classes, texts, width, percent))
+    labels = _labels(second)
+    blocks = _spread(opened, labels, classes).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     blocks = blocks.select("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "a", "n", "pos", "comp", "most", "ranges")
     rest = (blocks.repartition(parts, "token", "i", "j").sortWithinPartitions("token", "i", "j")
             .mapInArrow(_cross(percent), "a long, b long"))
-    whole = components(second.union(_links(rest, classes, keyed, width, percent)))
+    whole = components(labels.union(_links(rest, classes, texts, width, percent)))
 
     named = (classes.select("cls", "doc_id").join(whole.withColumnRenamed("node", "cls"), "cls", "left")
              .withColumn("label", F.coalesce("label", "cls")))

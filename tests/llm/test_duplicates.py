@@ -2,6 +2,7 @@ import hashlib
 
 import brute
 import numpy as np
+from pyspark.sql import functions as F
 import pytest
 
 from heliospark.llm import components, ngram_join, simhash, substring_dedup
@@ -181,3 +182,15 @@ def test_search_within_a_radius_is_exact(spark):
 def test_fingerprints_stay_in_the_jvm(small):
     plan = _report(small)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
+
+
+def test_repeated_rows_of_linked_texts_are_verified_once(spark):
+    """Two linked texts of 300 equal rows each, one id or none: every row gets the group, and a pair of texts is compared once."""
+    one, two = " ".join(f"w{i}" for i in range(60)), " ".join(f"w{i}" for i in range(58))
+    rows = [(7, one)] * 300 + [(9, two)] * 300 + [(None, two + " w58")] * 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = sorted((r.doc_id or 0, r.component_id) for r in ngram_join.similar_groups(docs).collect())
+    assert got == [(0, 7)] * 50 + [(7, 7)] * 300 + [(9, 7)] * 300
+    keyed = docs.withColumn("tkey", F.xxhash64("text"))
+    repeated = keyed.groupBy(F.col("doc_id").alias("__id"), F.col("tkey").alias("__key")).count().where("count > 1").drop("count")
+    assert ngram_join._one_of_repeated(keyed, repeated).count() == 3
