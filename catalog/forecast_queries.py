@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalog.bindings import Fixture
-from catalog.model_queries import PAIR, _ridge_sql, forest_model, merged, pair_coefficients
-from catalog.oracle_tables import TABLES, solar_ctes
+from catalog.model_queries import best_fleet_models, merged, ridge_coefficients, trained
+from catalog.oracle_tables import RIDGE_SUM, TABLES, solar_ctes
 from catalog.registry import query
 from heliospark import config
 from heliospark.functions.times import hours
@@ -46,20 +46,25 @@ TABLES["fc_profile"] = """
 SELECT plant_id, hour(generation_date) AS h, arg_min(generation_kwh, rn) FILTER (rn <= 24) AS lag24, avg(generation_kwh) AS lag168 FROM fc_recent GROUP BY 1, 2"""
 TABLES["fc_features"] = """
 SELECT s.*, coalesce(p.lag24, 0) AS production_lag_24h, coalesce(p.lag168, 0) AS production_lag_168h, coalesce(d.m, 0) AS production_7d_mean,
-  1 - clouds_all / 100 AS cloud_impact, ghi * (1 - clouds_all / 100) AS effective_irradiance,
+  1 - clouds_all / 100 AS cloud_impact, ghi * (1 - clouds_all / 100) AS effective_irradiance, elevation * (1 - clouds_all / 100) AS elevation_x_cloud,
+  temp * temp AS temp_squared, CASE WHEN rain_1h > 0 THEN 1 ELSE 0 END AS has_rain, hour(s.generation_date) AS hour, month(s.generation_date) AS month,
+  isodow(s.generation_date) - 1 AS day_of_week, dayofyear(s.generation_date) AS day_of_year,
+  sin(2 * pi() * hour(s.generation_date) / 24) AS hour_sin, cos(2 * pi() * hour(s.generation_date) / 24) AS hour_cos,
+  sin(2 * pi() * dayofyear(s.generation_date) / 365) AS day_sin, cos(2 * pi() * dayofyear(s.generation_date) / 365) AS day_cos,
   avg(temp) OVER (PARTITION BY s.plant_id ORDER BY s.generation_date ROWS BETWEEN 167 PRECEDING AND CURRENT ROW) AS temp_7d_mean
 FROM fc_sun s LEFT JOIN fc_profile p ON p.plant_id = s.plant_id AND p.h = hour(s.generation_date)
 LEFT JOIN (SELECT plant_id, avg(generation_kwh) AS m FROM fc_recent WHERE generation_kwh > 0 GROUP BY 1) d ON d.plant_id = s.plant_id"""
 TABLES["fc_out"] = f"""
-SELECT f.*, CASE WHEN intercept IS NOT NULL THEN greatest(0, intercept + w1 * effective_irradiance + w2 * temp) END AS predicted_kwh FROM fc_features f
-LEFT JOIN ({_ridge_sql('tfeat_day')}) r USING (plant_id) WHERE elevation > 5"""
+SELECT * EXCLUDE (raw), CASE WHEN raw IS NOT NULL THEN round(greatest(0, raw), 3) END AS predicted_kwh FROM (
+  SELECT f.*, {RIDGE_SUM} AS raw FROM fc_features f LEFT JOIN (SELECT plant_id, w, intercept FROM ridge_fit) r USING (plant_id) WHERE elevation > 5)"""
 
 
 def forecast(x: Fixture) -> DataFrame:
     """Forecast with the history's own features; scoring the history is not needed for the lags."""
     x = x.with_clean_tables()
     history = build_features(merged(x), x.fleet)
-    return dashboard.forecast(forecast_weather(x), history, x.fleet, PAIR, pair_coefficients(x))
+    ahead = dashboard.forecast(forecast_weather(x), history, x.fleet, config.ALL_FEATURES, ridge_coefficients(x))
+    return ahead.withColumn("predicted_kwh", F.round("predicted_kwh", 3))
 
 
 @query("upsample_hourly", "W7 J5", f"SELECT plant_id, generation_date, weather_main, weather_description, {', '.join(_NUMBERS)} FROM fc_hourly", " ".join(_NUMBERS))
@@ -209,10 +214,21 @@ def weather_daily_summary_replay(x: Fixture):
     return outlook.weather_daily_summary(ahead, x.scored, x.weather, replay=True)
 
 
+def _forecast_by(x: Fixture, models: DataFrame) -> DataFrame:
+    history = build_features(merged(x), x.fleet)
+    ahead = dashboard.forecast(forecast_weather(x), history, x.fleet, config.ALL_FEATURES, fleet_models=models)
+    return ahead.select("plant_id", "generation_date", "predicted_kwh")
+
+
 @query("forecast_forest", "M12 M3")
 def forecast_forest(x: Fixture):
-    """Forecast by an MLlib model over all features."""
+    """Forecast by every plant's forest."""
     x = x.with_clean_tables()
-    history = build_features(merged(x), x.fleet)
-    ahead = dashboard.forecast(forecast_weather(x), history, x.fleet, config.ALL_FEATURES, model=forest_model(x))
-    return ahead.select("plant_id", "generation_date", "predicted_kwh")
+    return _forecast_by(x, trained(x, "forest").models)
+
+
+@query("forecast_best", "M12 M9")
+def forecast_best(x: Fixture):
+    """Forecast by every plant's best model on its test side."""
+    x = x.with_clean_tables()
+    return _forecast_by(x, best_fleet_models(x))

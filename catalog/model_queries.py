@@ -9,16 +9,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalog.bindings import Fixture
+from catalog.oracle_tables import CONFIGURED, POSITION_SQL, RIDGE_SUM
 from catalog.registry import query
 from heliospark import config
 from heliospark.functions import labels
-from heliospark.models import ensembles, evaluation, fleet, linear
+from heliospark.models import ensembles, evaluation, fleet, linear, trees
 from heliospark.operators import completeness, features, splits
 from heliospark.plans import dashboard, training
 from heliospark.sources import sinks
 from heliospark.sources.intermediate import materialize, shared_folder
 
-PAIR = ["effective_irradiance", "temp"]
 _WEATHER = "temp visibility rain_1h clouds_all"
 
 
@@ -35,9 +35,15 @@ def _targets(x: Fixture) -> DataFrame:
     return x.hourly.select("plant_id", "plant_name", "generation_date", "generation_kwh")
 
 
-def pair_coefficients(x: Fixture) -> DataFrame:
-    """The trained fleet model, written as a run would leave it for scoring."""
-    return materialize(linear.fit_fleet_ridge(training_features(x), PAIR), "ridge-coefficients")
+def training_rows(x: Fixture) -> DataFrame:
+    """Both sides of the split, filled, written once."""
+    return materialize(fleet.training_rows(training_features(x), x.fleet, config.ALL_FEATURES), "training-rows")
+
+
+def ridge_coefficients(x: Fixture) -> DataFrame:
+    """The ridge of every plant on its train side, over all features, written as a run leaves it for scoring."""
+    rows = fleet.training_rows(training_features(x), x.fleet, config.ALL_FEATURES)
+    return materialize(linear.fit_fleet_ridge(rows.where("split = 'train'"), config.ALL_FEATURES), "ridge-coefficients")
 
 
 @query("merge_weather", "J2 W6", f"SELECT plant_id, generation_date, generation_kwh, {_WEATHER.replace(' ', ', ')} FROM merged",
@@ -146,24 +152,15 @@ def training_frame(x: Fixture):
     return training_features(x).select("plant_id", "generation_date", "generation_kwh", *config.ALL_FEATURES)
 
 
-_POSITION_SQL = """
-SELECT plant_id, generation_date, CASE WHEN generation_date < cut THEN 'train' ELSE 'test' END AS split FROM (
-  SELECT *, CASE WHEN n_test < {min_test} THEN max(generation_date) FILTER (rn = pos) OVER (PARTITION BY plant_id) ELSE wanted END AS cut FROM (
-    SELECT *, count(*) OVER (PARTITION BY plant_id) AS n, row_number() OVER (PARTITION BY plant_id ORDER BY generation_date) AS rn,
-      CAST(floor(count(*) OVER (PARTITION BY plant_id) * 0.8) AS BIGINT) + 1 AS pos,
-      count(*) FILTER (generation_date >= wanted) OVER (PARTITION BY plant_id) AS n_test
-    FROM (SELECT plant_id, generation_date, {wanted} AS wanted FROM {source})))"""
-
-
-@query("split_configured", "W13", _POSITION_SQL.format(
-    min_test=500, wanted="CASE WHEN plant_id = 900005 THEN TIMESTAMP '2025-04-01' ELSE TIMESTAMP '2025-06-01' END", source="feat_day"))
+@query("split_configured", "W13", POSITION_SQL.format(
+    min_test=500, wanted=CONFIGURED, source="feat_day"))
 def split_configured(x: Fixture):
     """Configured dates leave no test rows here, so every plant is cut by position."""
     rows = features.build_features(merged(x), x.fleet).select("plant_id", "generation_date")
     return splits.split_train_test(rows, x.fleet)
 
 
-@query("split_explicit_date", "W13", _POSITION_SQL.format(min_test=50, wanted="TIMESTAMP '2024-01-20'", source="hourly"))
+@query("split_explicit_date", "W13", POSITION_SQL.format(min_test=50, wanted="TIMESTAMP '2024-01-20'", source="hourly"))
 def split_explicit_date(x: Fixture):
     return splits.split_train_test(x.hourly.select("plant_id", "generation_date"), split_date=dt.date(2024, 1, 20), min_test=50)
 
@@ -176,7 +173,7 @@ def _days(x: Fixture) -> DataFrame:
     return x.history.select("plant_id", day.alias("generation_date")).distinct()
 
 
-@query("split_relative", "W13", _POSITION_SQL.format(
+@query("split_relative", "W13", POSITION_SQL.format(
     min_test=50, wanted="max(generation_date) OVER (PARTITION BY plant_id) - INTERVAL '3 months'", source=_DAYS))
 def split_relative(x: Fixture):
     return splits.split_train_test(_days(x), min_test=50)
@@ -189,22 +186,15 @@ def time_series_folds(x: Fixture):
     return splits.time_series_folds(_days(x))
 
 
-def _ridge_sql(source: str) -> str:
-    """Two-feature ridge by Cramer's rule."""
-    return f"""
-SELECT plant_id, n, (a * (s22 + 100) - b * s12) / det AS w1, (b * (s11 + 100) - a * s12) / det AS w2,
-  my - (a * (s22 + 100) - b * s12) / det * m1 - (b * (s11 + 100) - a * s12) / det * m2 AS intercept FROM (
-  SELECT *, (s11 + 100) * (s22 + 100) - s12 * s12 AS det FROM (
-    SELECT plant_id, count(*) AS n, avg(effective_irradiance) AS m1, avg(temp) AS m2, avg(generation_kwh) AS my,
-      covar_pop(effective_irradiance, effective_irradiance) * count(*) AS s11, covar_pop(temp, temp) * count(*) AS s22,
-      covar_pop(effective_irradiance, temp) * count(*) AS s12, covar_pop(effective_irradiance, generation_kwh) * count(*) AS a,
-      covar_pop(temp, generation_kwh) * count(*) AS b FROM {source} GROUP BY 1))"""
+_COEFFICIENTS_SQL = " UNION ALL ".join(
+    f"SELECT plant_id, n, intercept, '{c}' AS feature, w[{i + 1}] AS coefficient FROM ridge_fit" for i, c in enumerate(config.ALL_FEATURES))
 
 
-@query("fleet_ridge", "M2 M7", f"SELECT * FROM ({_ridge_sql('tfeat_day')})", "w1 w2 intercept")
+@query("fleet_ridge", "M2 M7", _COEFFICIENTS_SQL, "intercept coefficient")
 def fleet_ridge(x: Fixture):
-    fitted = linear.fit_fleet_ridge(training_features(x), PAIR)
-    return fitted.select("plant_id", "n", F.col("coefficients")[0].alias("w1"), F.col("coefficients")[1].alias("w2"), "intercept")
+    """All features of every plant; the twin solves the normal equations by elimination."""
+    pairs = F.arrays_zip(F.array(*map(F.lit, config.ALL_FEATURES)).alias("feature"), F.col("coefficients").alias("coefficient"))
+    return ridge_coefficients(x).select("plant_id", "n", "intercept", F.inline(pairs))
 
 
 @query("ridge_single_fit", "M2", """
@@ -226,26 +216,34 @@ def fleet_ridge_all_features(x: Fixture):
 
 @query("ranked_coefficients", "M15 L4", f"""
 SELECT plant_id, feature, coefficient, abs(coefficient) AS abs_coefficient, CAST(row_number() OVER (PARTITION BY plant_id ORDER BY abs(coefficient) DESC, feature) AS INTEGER) AS rank
-FROM (SELECT plant_id, 'effective_irradiance' AS feature, w1 AS coefficient FROM ({_ridge_sql('tfeat_day')})
-  UNION ALL SELECT plant_id, 'temp', w2 FROM ({_ridge_sql('tfeat_day')}))""", "coefficient abs_coefficient")
+FROM ({_COEFFICIENTS_SQL})""", "coefficient abs_coefficient")
 def ranked_coefficients(x: Fixture):
-    return linear.ranked_coefficients(linear.fit_fleet_ridge(training_features(x), PAIR), PAIR)
+    return linear.ranked_coefficients(ridge_coefficients(x), config.ALL_FEATURES)
+
+
+def _scored_sql(lacking: str) -> str:
+    return f"""
+SELECT f.plant_id, f.generation_date, f.generation_kwh, round(greatest(0, {RIDGE_SUM}), 3) AS ml_predicted_kwh
+FROM score_rows f JOIN ridge_fit r ON r.plant_id = f.plant_id WHERE f.plant_id NOT IN ({lacking})
+UNION ALL SELECT plant_id, generation_date, generation_kwh, round(generation_kwh, 3) FROM hourly WHERE plant_id IN ({lacking})"""
 
 
-_SCORED_SQL = f"""
-SELECT f.plant_id, f.generation_date, f.generation_kwh, greatest(0, intercept + w1 * effective_irradiance + w2 * temp) AS ml_predicted_kwh
-FROM feat_day f JOIN ({_ridge_sql('tfeat_day')}) r ON r.plant_id = f.plant_id
-UNION ALL SELECT plant_id, generation_date, generation_kwh, generation_kwh FROM hourly WHERE plant_id NOT IN (SELECT plant_id FROM tfeat_day)"""
+def _shown(scored: DataFrame) -> DataFrame:
+    """Predictions to three digits, which both solvers agree on."""
+    return scored.select("plant_id", "generation_date", "generation_kwh", F.round("ml_predicted_kwh", 3).alias("ml_predicted_kwh"))
+
+
+_UNTRAINED = "SELECT plant_id FROM hourly EXCEPT SELECT plant_id FROM ridge_fit"
 
 
 def scored_history(x: Fixture) -> DataFrame:
     x = x.with_clean_tables()
-    return dashboard.score_history(_targets(x), x.weather, x.fleet, pair_coefficients(x), PAIR)
+    return dashboard.score_history(_targets(x), x.weather, x.fleet, ridge_coefficients(x), config.ALL_FEATURES)
 
 
-@query("score_history", "M11 F13", _SCORED_SQL, "generation_kwh ml_predicted_kwh")
+@query("score_history", "M11 F13", _scored_sql(_UNTRAINED), "generation_kwh ml_predicted_kwh")
 def score_history(x: Fixture):
-    return scored_history(x).select("plant_id", "generation_date", "generation_kwh", "ml_predicted_kwh")
+    return _shown(scored_history(x))
 
 
 @query("score_history_without_model", "M11", "SELECT plant_id, generation_date, generation_kwh AS ml_predicted_kwh FROM hourly", "ml_predicted_kwh")
@@ -253,19 +251,12 @@ def score_without_model(x: Fixture):
     return dashboard.score_history(x.hourly, x.weather, x.fleet).select("plant_id", "generation_date", "ml_predicted_kwh")
 
 
-_PARTIAL_SQL = f"""
-SELECT f.plant_id, f.generation_date, f.generation_kwh, greatest(0, intercept + w1 * effective_irradiance + w2 * temp) AS ml_predicted_kwh
-FROM feat_day f JOIN ({_ridge_sql('tfeat_day')}) r ON r.plant_id = f.plant_id WHERE f.plant_id NOT IN (900002, 900004)
-UNION ALL SELECT plant_id, generation_date, generation_kwh, generation_kwh FROM hourly WHERE plant_id IN (900002, 900004)"""
-
-
-@query("score_history_missing_models", "M11", _PARTIAL_SQL, "generation_kwh ml_predicted_kwh")
+@query("score_history_missing_models", "M11", _scored_sql("900002, 900004"), "generation_kwh ml_predicted_kwh")
 def score_history_missing_models(x: Fixture):
     """Two plants have no model yet: all their hours stay, with the actual value."""
     x = x.with_clean_tables()
-    fitted = pair_coefficients(x).where("plant_id NOT IN (900002, 900004)")
-    scored = dashboard.score_history(_targets(x), x.weather, x.fleet, fitted, PAIR)
-    return scored.select("plant_id", "generation_date", "generation_kwh", "ml_predicted_kwh")
+    fitted = ridge_coefficients(x).where("plant_id NOT IN (900002, 900004)")
+    return _shown(dashboard.score_history(_targets(x), x.weather, x.fleet, fitted, config.ALL_FEATURES))
 
 
 _PREDICTIONS_SQL = """
@@ -361,28 +352,35 @@ def residual_anomalies(x: Fixture):
     return evaluation.residual_anomalies(x.history).select("plant_id", "generation_date", "residual", "threshold")
 
 
+def _saved(x: Fixture) -> str:
+    """A folder with the ridge models of the fleet and the registry of their metrics, as a run leaves them."""
+    folder = f"{shared_folder(x.spark)}/run-{uuid.uuid4().hex}"
+    sinks.save_fleet(trees.ridge_models(ridge_coefficients(x)), metrics(x).where("split = 'test'"), folder, x.fleet, config.ALL_FEATURES)
+    return folder
+
+
 @query("registry_round_trip", "S7", f"SELECT * FROM ({_METRICS_SQL}) WHERE split = 'test'", "mae rmse r2 wape")
 def registry_round_trip(x: Fixture):
     """Metrics of a run as saved in and read back from its registry."""
-    folder = f"{shared_folder(x.spark)}/run-{uuid.uuid4().hex}"
-    sinks.save_run({}, metrics(x).where("split = 'test'"), folder, x.fleet, config.ALL_FEATURES)
-    return sinks.load_registry(x.spark, folder)
+    return sinks.load_registry(x.spark, _saved(x))
 
 
-# Tree queries below train small ensembles; the library defaults are the full-size ones.
-SMALL_TREES = {"forest": {"numTrees": 20, "maxDepth": 8}, "boosting": {"maxIter": 8, "maxDepth": 4},
-               "subsampled_boosting": {"maxIter": 8, "maxDepth": 4}}
+@query("score_saved_run", "S7 M11", _scored_sql(_UNTRAINED), "generation_kwh ml_predicted_kwh")
+def score_saved_run(x: Fixture):
+    """History scored by the models and feature list that a saved run holds."""
+    x = x.with_clean_tables()
+    folder = _saved(x)
+    return _shown(dashboard.score_history(_targets(x), x.weather, x.fleet, columns=sinks.load_features(x.spark, folder),
+                                          fleet_models=sinks.load_fleet(x.spark, folder)))
 
 
-def _train_side(x: Fixture) -> DataFrame:
-    return materialize(features.impute_features(training_features(x), config.ALL_FEATURES), "training-rows")
+def trained(x: Fixture, *kinds: str) -> fleet.FleetTables:
+    """Every plant with the library's full settings."""
+    return fleet.train_fleet_tables(training_features(x), x.fleet, config.ALL_FEATURES, kinds or fleet.ALL_MODELS)
 
 
 def _tree_metrics(x: Fixture, kind: str) -> DataFrame:
-    rows = _train_side(x)
-    model = ensembles.fit(rows, kind, config.ALL_FEATURES, SMALL_TREES[kind])
-    scored = ensembles.predict(model, rows).withColumn("model", F.lit(config.MODEL_LABELS[kind]))
-    return evaluation.regression_metrics(scored, ("plant_id", "model"))
+    return trained(x, kind).metrics.drop("training_time")
 
 
 @query("random_forest", "M3")
@@ -402,34 +400,70 @@ def subsampled_boosting(x: Fixture):
 
 @query("tree_importances", "M15 L4")
 def tree_importances(x: Fixture):
-    rows = _train_side(x)
-    model = ensembles.fit(rows, "forest", config.ALL_FEATURES, SMALL_TREES["forest"])
-    return ensembles.importances(model, config.ALL_FEATURES, x.spark)
+    return trees.tree_importances(trained(x, "forest", "boosting", "subsampled_boosting").models, config.ALL_FEATURES)
+
 
+def folded_rows(x: Fixture) -> DataFrame:
+    """Train sides with the fold that tests each row."""
+    rows = fleet.training_rows(training_features(x), x.fleet, config.ALL_FEATURES).where("split = 'train'").drop("split")
+    return materialize(splits.time_series_folds(rows), "folds")
 
-@query("tune_ridge", "M6 W14")
+
+@query("tune_ridge", "M6 W14", f"""
+SELECT plant_id, alpha, mae, CAST(row_number() OVER (PARTITION BY plant_id ORDER BY mae, alpha) AS INTEGER) AS rank FROM (
+  SELECT plant_id, alpha, round(avg(error), 4) AS mae FROM (
+    SELECT f.plant_id, alpha, f.fold, avg(abs(generation_kwh - ({RIDGE_SUM}))) AS error
+    FROM fold_rows f JOIN fold_fit r ON r.plant_id = f.plant_id AND r.test = f.fold GROUP BY 1, 2, 3) GROUP BY 1, 2)""", "alpha mae")
 def tune_ridge(x: Fixture):
-    """Every alpha of the grid over three expanding folds per plant timeline."""
-    rows = _train_side(x)
-    _, _, trials = ensembles.tune(rows, "ridge", config.ALL_FEATURES, config.RIDGE_GRID)
-    return evaluation.hyperparameters(trials, x.spark)
+    """Every alpha of the grid for every plant, over three expanding folds."""
+    return linear.tune_fleet_ridge(folded_rows(x), config.ALL_FEATURES, config.RIDGE_GRID["alpha"]).withColumn("mae", F.round("mae", 4))
+
+
+def _searched(x: Fixture, grids: dict, n_iter: int) -> DataFrame:
+    rows, found = folded_rows(x), []
+    for kind in ("forest", "boosting", "subsampled_boosting"):
+        trials = ensembles.grid_points(grids[kind], n_iter)
+        named = F.element_at(F.array(*(F.lit(str(t)) for t in trials)), F.col("trial") + 1)
+        found.append(trees.tune_fleet_trees(rows, config.ALL_FEATURES, kind, trials).select("plant_id", F.lit(kind).alias("kind"), named.alias("params"), "mae", "rank"))
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
+@query("tune_trees_bounded", "M6 W14")
+def tune_trees_bounded(x: Fixture):
+    """Eight draws from the bounded grid of every tree kind, for every plant."""
+    return _searched(x, config.BOUNDED_GRIDS, config.BOUNDED_SEARCH_ITERATIONS)
+
+
+@query("tune_trees_wide", "M6 W14")
+def tune_trees_wide(x: Fixture):
+    """Twenty draws from the wide grid of every tree kind, for every plant."""
+    return _searched(x, config.WIDE_GRIDS, config.WIDE_SEARCH_ITERATIONS)
 
 
 @query("train_fleet", "M7 M8 M9 L4")
 def train_fleet(x: Fixture):
-    """Ridge and a small forest per plant, ranked on the test side."""
-    run = training.train(_targets(x), x.weather, x.agreement, x.fleet,
-                         kinds=("ridge", "forest"), params=SMALL_TREES)
-    return evaluation.rank_models(fleet.comparison(run)).drop("training_time")
+    """All four kinds per plant at full size, ranked on the test side."""
+    return evaluation.rank_models(trained(x).comparison).drop("training_time")
+
 
+def best_fleet_models(x: Fixture) -> DataFrame:
+    return materialize(fleet.best_of_fleet(trained(x)), "best-models")
 
-def forest_model(x: Fixture):
-    return ensembles.fit(_train_side(x), "forest", config.ALL_FEATURES, SMALL_TREES["forest"])
+
+def _scored_by(x: Fixture, models: DataFrame) -> DataFrame:
+    scored = dashboard.score_history(_targets(x), x.weather, x.fleet, columns=config.ALL_FEATURES, fleet_models=models)
+    return scored.select("plant_id", "generation_date", "generation_kwh", "ml_predicted_kwh")
 
 
 @query("score_history_forest", "M11 M3")
 def score_history_forest(x: Fixture):
-    """History scored by an MLlib model over all features."""
+    """History scored by every plant's forest."""
     x = x.with_clean_tables()
-    scored = dashboard.score_history(_targets(x), x.weather, x.fleet, columns=config.ALL_FEATURES, model=forest_model(x))
-    return scored.select("plant_id", "generation_date", "generation_kwh", "ml_predicted_kwh")
+    return _scored_by(x, trained(x, "forest").models)
+
+
+@query("score_history_best", "M11 M9")
+def score_history_best(x: Fixture):
+    """History scored by every plant's best model on its test side."""
+    x = x.with_clean_tables()
+    return _scored_by(x, best_fleet_models(x))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+from heliospark import config
 from heliospark.config import FLEET, NAME_ALIASES
 
 _FLEET_ROWS = ", ".join(
@@ -333,6 +334,61 @@ TABLES.update(feature_ctes("merged_reliable", "tfeat"))
 _WORD = re.compile(r"\b[a-z_0-9]+\b")
 
 
+def _filled(columns, keys: str) -> str:
+    """Last known value, else the next, else 0, in time order within the keys."""
+    over = f"PARTITION BY {keys} ORDER BY generation_date ROWS BETWEEN"
+    return ", ".join(f"coalesce(last_value({c} IGNORE NULLS) OVER ({over} UNBOUNDED PRECEDING AND CURRENT ROW), "
+                     f"first_value({c} IGNORE NULLS) OVER ({over} CURRENT ROW AND UNBOUNDED FOLLOWING), 0) AS {c}" for c in columns)
+
+
+POSITION_SQL = """
+SELECT plant_id, generation_date, CASE WHEN generation_date < cut THEN 'train' ELSE 'test' END AS split FROM (
+  SELECT *, CASE WHEN n_test < {min_test} THEN max(generation_date) FILTER (rn = pos) OVER (PARTITION BY plant_id) ELSE wanted END AS cut FROM (
+    SELECT *, count(*) OVER (PARTITION BY plant_id) AS n, row_number() OVER (PARTITION BY plant_id ORDER BY generation_date) AS rn,
+      CAST(floor(count(*) OVER (PARTITION BY plant_id) * 0.8) AS BIGINT) + 1 AS pos,
+      count(*) FILTER (generation_date >= wanted) OVER (PARTITION BY plant_id) AS n_test
+    FROM (SELECT plant_id, generation_date, {wanted} AS wanted FROM {source})))"""
+CONFIGURED = "CASE WHEN plant_id = 900005 THEN TIMESTAMP '2025-04-01' ELSE TIMESTAMP '2025-06-01' END"
+FEATURES = config.ALL_FEATURES
+TABLES["train_split"] = f"SELECT f.*, p.split FROM tfeat_day f JOIN ({POSITION_SQL.format(min_test=500, wanted=CONFIGURED, source='tfeat_day')}) p USING (plant_id, generation_date)"
+TABLES["train_rows"] = f"SELECT plant_id, generation_date, generation_kwh, split, {_filled(FEATURES, 'plant_id, split')} FROM train_split"
+TABLES["score_rows"] = f"SELECT plant_id, generation_date, generation_kwh, {_filled(FEATURES, 'plant_id')} FROM feat_day"
+
+
+def _system(source: str, keys: str, alpha: str) -> str:
+    """Centred normal equations of a ridge with their right-hand side, as a list of rows."""
+    def cell(i: int, j: int) -> str:
+        other = FEATURES[j] if j < len(FEATURES) else "generation_kwh"
+        return f"covar_pop({FEATURES[i]}, {other}) * count(*)" + (f" + {alpha}" if i == j else "")
+    rows = ", ".join("[" + ", ".join(cell(i, j) for j in range(len(FEATURES) + 1)) + "]" for i in range(len(FEATURES)))
+    means = ", ".join(f"avg({c})" for c in FEATURES)
+    return f"SELECT {keys}, count(*) AS n, avg(generation_kwh) AS level, [{means}] AS means, [{rows}] AS m FROM {source} GROUP BY {keys}"
+
+
+def _solved(system: str, keys: str) -> str:
+    """Gauss-Jordan elimination, one feature a step."""
+    size = len(FEATURES)
+    return f"""
+WITH RECURSIVE g AS (
+  SELECT {keys}, n, level, means, 1 AS k, m FROM {system}
+  UNION ALL SELECT {keys}, n, level, means, k + 1, list_transform(m, lambda r, i: CASE WHEN i = k THEN list_transform(r, lambda v: v / r[k])
+    ELSE list_transform(r, lambda v, j: v - r[k] * m[k][j] / m[k][k]) END) FROM g WHERE k <= {size})
+SELECT *, level - list_inner_product(w, means) AS intercept FROM (
+  SELECT {keys}, n, level, means, list_transform(m, lambda r: r[{size + 1}]) AS w FROM g WHERE k = {size + 1})"""
+
+
+TABLES["ridge_system"] = _system("(SELECT * FROM train_rows WHERE split = 'train')", "plant_id", "100")
+TABLES["ridge_fit"] = _solved("ridge_system", "plant_id")
+TABLES["fold_rows"] = """
+SELECT *, CAST(CASE WHEN rn > n - size THEN 3 WHEN rn > n - 2 * size THEN 2 WHEN rn > n - 3 * size THEN 1 ELSE 0 END AS INTEGER) AS fold
+FROM (SELECT *, n // 4 AS size FROM (SELECT *, count(*) OVER (PARTITION BY plant_id) AS n, row_number() OVER (PARTITION BY plant_id ORDER BY generation_date) AS rn
+  FROM train_rows WHERE split = 'train'))"""
+TABLES["fold_system"] = _system("(SELECT r.* EXCLUDE (n), test, alpha FROM fold_rows r JOIN (VALUES (1), (2), (3)) t(test) ON fold < test "
+                                f"CROSS JOIN (VALUES {', '.join(f'({float(a)!r}::DOUBLE)' for a in config.RIDGE_GRID['alpha'])}) v(alpha))", "plant_id, test, alpha", "alpha")
+TABLES["fold_fit"] = _solved("fold_system", "plant_id, test, alpha")
+RIDGE_SUM = "intercept + " + " + ".join(f"w[{i + 1}] * {c}" for i, c in enumerate(FEATURES))
+
+
 def with_tables(body: str) -> str:
     """Prefix a query with the definitions it needs, directly or through others."""
     needed: set[str] = set()

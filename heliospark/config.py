@@ -96,35 +96,47 @@ MODEL_LABELS = {
     "boosting": "Gradient Boosting",
     "subsampled_boosting": "Subsampled Gradient Boosting",
 }
+# Trees that the fleet trainer grows itself: leaf values are shrunk by penalty, boosted trees draw rows and features per tree.
+FLEET_TREES = {
+    "forest": {"numTrees": 200, "maxDepth": 20, "minInstancesToSplit": 10, "minInstancesPerNode": 5, "penalty": 0.0},
+    "boosting": {"maxIter": 200, "maxDepth": 7, "stepSize": 0.1, "minInstancesToSplit": 10, "minInstancesPerNode": 1, "penalty": 0.0, "subsamplingRate": 1.0},
+    "subsampled_boosting": {"maxIter": 200, "maxDepth": 7, "stepSize": 0.1, "minInstancesToSplit": 2, "minInstancesPerNode": 1, "penalty": 1.0,
+                            "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8"},
+}
 RIDGE_GRID = {"alpha": [0.1, 1.0, 10.0, 100.0, 1000.0, 10000.0]}
-# MLlib accepts depths up to 30, so the wider depth ranges stop there.
+# MLlib stops at depth 30 and has no minInstancesToSplit; the fleet trainer takes all of these.
 WIDE_GRIDS = {
     "ridge": RIDGE_GRID,
     "forest": {
-        "numTrees": list(range(100, 501, 100)),
-        "maxDepth": list(range(15, 31, 5)),
-        "minInstancesPerNode": [2, *range(5, 51, 5)],
+        "numTrees": [100, 200, 300, 400, 500],
+        "maxDepth": [15, 20, 25, 30, 35, 40, 45, 50],
+        "minInstancesToSplit": [5, 10, 15, 20, 25, 30, 35, 40, 45, 50],
+        "minInstancesPerNode": [2, 5, 10, 15, 20, 25, 30, 35, 40, 45, 50],
     },
     "boosting": {
-        "maxIter": list(range(100, 501, 100)),
-        "maxDepth": list(range(5, 26, 2)),
+        "maxIter": [100, 200, 300, 400, 500],
+        "maxDepth": [5, 7, 9, 11, 13, 15, 17, 19, 21, 23, 25],
         "stepSize": [0.05, 0.1, 0.2],
-        "minInstancesPerNode": list(range(1, 11)),
+        "minInstancesToSplit": [10, 20, 30, 40, 50, 60, 70, 80, 90, 100],
+        "minInstancesPerNode": [1, 2, 3, 4, 5, 6, 7, 8, 9, 10],
     },
     "subsampled_boosting": {
-        "maxIter": list(range(100, 501, 100)),
-        "maxDepth": list(range(5, 26, 2)),
+        "maxIter": [100, 200, 300, 400, 500],
+        "maxDepth": [5, 7, 9, 11, 13, 15, 17, 19, 21, 23, 25],
         "stepSize": [0.05, 0.1, 0.2],
-        "subsamplingRate": [0.8, 0.9, 0.95, 1.0],
-        "featureSubsetStrategy": ["0.8", "0.9", "0.95", "1.0"],
+        "subsamplingRate": [0.8, 1.0, 0.9, 0.95, 1.0],
+        "featureSubsetStrategy": ["0.8", "1.0", "0.9", "0.95", "1.0"],
     },
 }
 BOUNDED_GRIDS = {
     "ridge": RIDGE_GRID,
-    "forest": {"numTrees": [100, 200, 300], "maxDepth": [15, 20, 30], "minInstancesPerNode": [2, 5, 10]},
+    "forest": {
+        "numTrees": [100, 200, 300], "maxDepth": [15, 20, 30],
+        "minInstancesToSplit": [5, 10, 20], "minInstancesPerNode": [2, 5, 10],
+    },
     "boosting": {
-        "maxIter": [100, 200, 300], "maxDepth": [3, 5, 7],
-        "stepSize": [0.05, 0.1], "minInstancesPerNode": [1, 3, 5],
+        "maxIter": [100, 200, 300], "maxDepth": [3, 5, 7], "stepSize": [0.05, 0.1],
+        "minInstancesToSplit": [10, 20], "minInstancesPerNode": [1, 3, 5],
     },
     "subsampled_boosting": {
         "maxIter": [100, 200, 300], "maxDepth": [3, 5, 7], "stepSize": [0.05, 0.1],

@@ -1,4 +1,4 @@
-"""Estimator choice, fitting and hyper-parameter search with MLlib."""
+"""Estimator choice, fitting and hyper-parameter search with MLlib, for one large table; fleets train in ``trees`` and ``linear``."""
 
 from __future__ import annotations
 
@@ -25,7 +25,7 @@ PREDICTION = "prediction"
 
 def estimator(kind: str, df: DataFrame, params: dict[str, Any] | None = None, target: str = "generation_kwh"):
     """The configured estimator of a kind, with parameters overriding its defaults."""
-    params = params or {}
+    params = {k: v for k, v in (params or {}).items() if k != "minInstancesToSplit"}  # unknown to MLlib
     if kind == "ridge":
         return ridge_estimator(df, params.get("alpha", config.RIDGE_ALPHA), target)
     if kind == "forest":

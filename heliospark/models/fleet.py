@@ -1,4 +1,8 @@
-"""Training all plants: split, impute, fit, evaluate, rank; one failing plant does not stop the rest."""
+"""Training all plants: split, impute, fit, evaluate, rank; one failing plant does not stop the rest.
+
+``train_fleet_tables`` trains every plant and kind in a fixed number of jobs and keeps models as tables. ``train_fleet`` fits
+MLlib pipelines plant by plant, for a few plants whose rows are too many for one task.
+"""
 
 from __future__ import annotations
 
@@ -12,6 +16,8 @@ from pyspark.sql import functions as F
 
 from heliospark import config
 from heliospark.models.ensembles import predict, timed_fit, tune
+from heliospark.models.linear import fit_fleet_ridge
+from heliospark.models.trees import fit_fleet_trees, ridge_models, score_models
 from heliospark.models.evaluation import rank_models, regression_metrics
 from heliospark.operators.features import impute_features
 from heliospark.operators.splits import split_train_test
@@ -81,6 +87,58 @@ def train_fleet(features: DataFrame, fleet: DataFrame, columns: Sequence[str], k
     return run
 
 
+@dataclass
+class FleetTables:
+    """A trained fleet: ``models`` (one plant, kind and block a row) and ``metrics`` by plant, model and split."""
+    models: DataFrame
+    metrics: DataFrame
+    features: list[str]
+
+    @property
+    def failures(self) -> DataFrame:
+        return self.models.where("error IS NOT NULL").select("plant_id", "kind", "error")
+
+    @property
+    def comparison(self) -> DataFrame:
+        return self.metrics.where("split = 'test'").drop("split")
+
+
+def _label(kind: str):
+    return F.coalesce(*(F.when(F.col(kind) == k, F.lit(v)) for k, v in config.MODEL_LABELS.items()))
+
+
+def train_fleet_tables(features: DataFrame, fleet: DataFrame, columns: Sequence[str], kinds: Sequence[str] = ALL_MODELS,
+                       params: dict[str, dict] | None = None, reliable_only: bool = False,
+                       min_test: int = config.MIN_TEST_SAMPLES, split_date=None) -> FleetTables:
+    """Fit the requested kinds for every plant on its train side and measure both sides.
+
+    Training rows, models and metrics are written tables; nothing of a plant reaches the driver. A kind that fails for a
+    plant is left out there, with its error in ``models``.
+    """
+    columns, params = list(columns), params or {}
+    needed = ["plant_id", "generation_date", "generation_kwh", *columns]
+    rows = training_rows(features.select(*needed), fleet, columns, min_test, split_date)
+    if reliable_only:
+        rows = rows.join(fleet.where("reliable").select("plant_id"), "plant_id", "left_semi")
+    rows = materialize(rows, "training-rows")
+    train, parts = rows.where("split = 'train'"), []
+    if "ridge" in kinds:
+        parts.append(ridge_models(fit_fleet_ridge(train, columns, params.get("ridge", {}).get("alpha", config.RIDGE_ALPHA))))
+    if trees := {kind: params.get(kind) for kind in kinds if kind != "ridge"}:
+        parts.append(fit_fleet_trees(train, columns, trees))
+    models = materialize(reduce(DataFrame.unionByName, parts), "fleet-models")
+    scored = score_models(rows, models, columns).where("kind IS NOT NULL")
+    metrics = regression_metrics(scored, ("plant_id", "kind", "split")).withColumn("model", _label("kind")).drop("kind")
+    seconds = models.groupBy("plant_id", _label("kind").alias("model")).agg(F.sum("seconds").alias("training_time"))
+    return FleetTables(models, materialize(metrics.join(seconds, ["plant_id", "model"], "left"), "model-metrics"), columns)
+
+
+def best_of_fleet(run: FleetTables) -> DataFrame:
+    """The models of each plant's best kind by test R2."""
+    best = rank_models(run.comparison).where("rank = 1").select("plant_id", "model")
+    return run.models.withColumn("model", _label("kind")).join(best, ["plant_id", "model"], "left_semi").drop("model")
+
+
 def best_models(run: FleetRun) -> dict[int, PipelineModel]:
     """Each plant's best model by test R2; one row per plant reaches the driver, which holds the models anyway."""
     kinds = {label: kind for kind, label in config.MODEL_LABELS.items()}

@@ -52,6 +52,17 @@ def save_run(models: dict[tuple[int, str], PipelineModel], metrics: DataFrame, d
             "overwrite").parquet(f"{directory}/feature_columns")
 
 
+def save_fleet(models: DataFrame, metrics: DataFrame, directory: str, plants: DataFrame | None = None, features: list[str] | None = None) -> None:
+    """Save a fleet's model table, laid out by plant like the registry, and what ``save_run`` keeps; a later run replaces the plants it holds."""
+    models.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("plant_id").parquet(f"{directory}/fleet_models")
+    save_run({}, metrics, directory, plants, features)
+
+
+def load_fleet(spark: SparkSession, directory: str) -> DataFrame:
+    from heliospark.models.trees import MODEL_SCHEMA
+    return spark.read.schema(MODEL_SCHEMA).parquet(f"{directory}/fleet_models")
+
+
 def load_model(directory: str, plant: int, kind: str) -> PipelineModel:
     return PipelineModel.load(_model_path(directory, plant, kind))
 

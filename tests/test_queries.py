@@ -5,9 +5,9 @@ import pytest
 from catalog import REGISTRY
 from compare import compare
 
-HEAVY = {"random_forest", "gradient_boosting", "subsampled_boosting", "tree_importances", "tune_ridge", "train_fleet",
+HEAVY = {"random_forest", "gradient_boosting", "subsampled_boosting", "tree_importances", "train_fleet",
          "forecast_totals", "quality_cards_fallback", "score_bands", "clean_build_summary",
-         "score_history_forest", "forecast_forest"}
+         "score_history_forest", "forecast_forest", "score_history_best", "forecast_best", "tune_trees_bounded", "tune_trees_wide"}
 PYTHON_TASKS = {"fleet_ridge", "fleet_ridge_all_features", "ranked_coefficients", "score_history", "forecast_ridge"}
 
 
