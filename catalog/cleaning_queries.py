@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 import uuid
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalog.bindings import EXPECTED, Fixture
@@ -173,6 +175,29 @@ def clean_tables_round_trip(x: Fixture):
     return back.selectExpr("CAST(plant_id AS BIGINT) AS plant_id", "generation_date", "generation_kwh", "records_collected", "data_available")
 
 
+_SIX_TABLES = {
+    "plants_clean": ("SELECT 200.0 + r_regionkey * 50 AS v FROM region JOIN fleet f ON f.plant_id = 900001 + r_regionkey", "plant_capacity"),
+    "generation_5min_clean": ("SELECT kwh AS v FROM gen_clean", "generation_kwh"),
+    "hourly_model_targets": ("SELECT generation_kwh AS v FROM hourly", "generation_kwh"),
+    "daily_source_agreement": ("SELECT five_min_kwh AS v FROM agreement", "five_min_kwh"),
+    "weather_hourly_clean": ("SELECT temp AS v FROM weather", "temp"),
+    "data_quality_summary": ("SELECT DISTINCT plant_id * 1.0 AS v FROM hourly", "plant_id"),
+}
+
+
+@query("clean_versions_round_trip", "S3 S6", " UNION ALL ".join(
+    f"SELECT '{name}' AS name, count(*) AS n, round(sum(v), 3) AS total FROM ({rows})" for name, (rows, _) in _SIX_TABLES.items()), "total")
+def clean_versions_round_trip(x: Fixture):
+    """All six clean tables, written as one version after another and read back through the manifest."""
+    folder = f"{shared_folder(x.spark)}/clean-{uuid.uuid4().hex}"
+    built = clean_build.build_clean_dataset(x.raw, x.fleet, EXPECTED)
+    sinks.write_version({"plants_clean": x.fleet.limit(0)}, folder)
+    sinks.write_version(built, folder)
+    parts = [sinks.read_version(x.spark, folder, name).agg(F.lit(name).alias("name"), F.count("*").alias("n"), F.round(F.sum(F.col(c).cast("double")), 3).alias("total"))
+             for name, (_, c) in _SIX_TABLES.items()]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 @query("daily_log", "A2", """
 SELECT plant_id, date, 'five_min_kwh' AS source, kwh, records FROM log_days WHERE source = 'five'""", "kwh")
 def daily_log(x: Fixture):

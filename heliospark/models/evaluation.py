@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from heliospark.functions import labels
 from heliospark.functions.numbers import ratio
+from heliospark.sources.intermediate import materialize
 
 
 def regression_metrics(df: DataFrame, keys: Sequence[str] = ("plant_id", "model", "split"),
@@ -65,10 +66,12 @@ def residual_anomalies(df: DataFrame, k: float = 2.0, target: str = "generation_
                        prediction: str = "ml_predicted_kwh") -> DataFrame:
     """Rows whose residual lies more than k deviations below zero.
 
-    The deviation is a grouped aggregate joined back, so a large plant is never gathered in a window.
+    The deviation is a grouped aggregate joined back, so a large plant is never gathered in a window. It is written
+    first: its size, a row per plant, is known, and rows are not exchanged unless there are very many plants.
     """
     with_residual = df.withColumn("residual", F.col(target) - F.col(prediction))
     limits = with_residual.groupBy("plant_id").agg((F.stddev_samp("residual") * k).alias("threshold"))
+    limits = materialize(limits, "residual-limits")
     return with_residual.join(limits, "plant_id").where(F.col("residual") < -F.col("threshold"))
 
 

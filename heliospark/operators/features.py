@@ -79,12 +79,9 @@ def add_lags(df: DataFrame, target: str = "generation_kwh", time_aligned: bool =
     if not time_aligned:
         w = Window.partitionBy("plant_id").orderBy("generation_date")
         return df.withColumns({f"production_lag_{n}h": F.lag(target, n).over(w) for n in (24, 168)})
-    out = df
-    for n in (24, 168):
-        past = df.select("plant_id", (F.col("generation_date") + F.make_dt_interval(F.lit(0), F.lit(n)))
-                         .alias("generation_date"), F.col(target).alias(f"production_lag_{n}h"))
-        out = out.join(past, ["plant_id", "generation_date"], "left")
-    return out
+    second = F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("generation_date"))
+    w = Window.partitionBy("plant_id").orderBy(second)
+    return df.withColumns({f"production_lag_{n}h": F.max(target).over(w.rangeBetween(-3600 * n, -3600 * n)) for n in (24, 168)})
 
 
 def rolling_mean(c: str, rows: int, min_rows: int, exclude_current: bool = False,

@@ -15,6 +15,7 @@ from heliospark import config
 from heliospark.functions import labels, times
 from heliospark.functions.numbers import guarded_corr, performance_ratio, ratio, sum_or_zero
 from heliospark.operators.hourly import densify
+from heliospark.sources.intermediate import materialize
 
 ACTUAL, PREDICTED, CLEARSKY = "generation_kwh", "ml_predicted_kwh", "clearsky_expected_kwh"
 
@@ -96,9 +97,12 @@ def seasonal(df: DataFrame) -> DataFrame:
     by_season = df.groupBy("plant_id", labels.season(F.month("generation_date")).alias("season")).agg(
         F.coalesce(F.sum(ACTUAL), F.lit(0.0)).alias("total_kwh"), F.avg(ACTUAL).alias("mean_kwh"),
         F.stddev_samp(ACTUAL).alias("std_kwh"))
-    wanted = F.posexplode(F.array(*[F.lit(n) for n in names])).alias("season_order", "season")
-    seasons = by_season.select("plant_id").distinct().select("plant_id", wanted)
-    return seasons.join(by_season, ["plant_id", "season"], "left")
+    measures = ("total_kwh", "mean_kwh", "std_kwh")
+    entry = F.when(F.col("season").isNotNull(), F.struct("season", F.struct(*measures)))
+    plants = by_season.groupBy("plant_id").agg(F.map_from_entries(F.collect_list(entry)).alias("found"))  # four entries at most
+    listed = plants.select("plant_id", "found", F.posexplode(F.array(*[F.lit(n) for n in names])).alias("season_order", "season"))
+    found = F.try_element_at("found", F.col("season"))
+    return listed.select("plant_id", "season", "season_order", *[found[m].alias(m) for m in measures])
 
 
 def production_totals(df: DataFrame) -> DataFrame:
@@ -172,8 +176,11 @@ def top_days(df: DataFrame, n: int = 5, lowest: bool = False) -> DataFrame:
 
 
 def since_last(df: DataFrame, n_days: int, ts: str = "generation_date") -> DataFrame:
-    """Rows within ``n_days`` of each plant's latest timestamp."""
-    latest = df.groupBy("plant_id").agg(F.max(ts).alias("_latest"))
+    """Rows within ``n_days`` of each plant's latest timestamp.
+
+    One row per plant is written first: its size is known, so rows stay where they are unless there are very many plants.
+    """
+    latest = materialize(df.groupBy("plant_id").agg(F.max(ts).alias("_latest")), "latest")
     return df.join(latest, "plant_id").where(F.col(ts) >= F.col("_latest") - times.days(n_days)).drop("_latest")
 
 
@@ -188,6 +195,7 @@ def latest_usable_day(df: DataFrame) -> DataFrame:
     daily = df.groupBy("plant_id", _day()).agg(F.sum(ACTUAL).alias("kwh"))
     chosen = daily.groupBy("plant_id").agg(
         F.coalesce(F.max(F.when(F.col("kwh") > 0, F.col("date"))), F.max("date")).alias("date"))
+    chosen = materialize(chosen, "usable-days")  # of known size: hours are not exchanged for a few days
     return df.withColumn("date", _day()).join(chosen, ["plant_id", "date"], "left_semi")
 
 

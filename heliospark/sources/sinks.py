@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CLEAN_TABLES = ["plants_clean", "generation_5min_clean", "hourly_model_targets",
                 "daily_source_agreement", "weather_hourly_clean", "data_quality_summary"]
+_MANIFEST = "sequence long, version string, tables array<string>"
 _MONTHLY = {"generation_5min_clean", "hourly_model_targets"}
 
 
@@ -34,6 +37,33 @@ def read_clean(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}")
 
 
+def write_version(outputs: dict[str, DataFrame], directory: str) -> str:
+    """Write one build of the clean tables into a folder of its own, then announce it in the manifest.
+
+    Readers follow the manifest, whose row is committed last and at once: they see all tables of one build, and after a
+    build that broke off those of the build before. Returns the version's name.
+    """
+    spark = next(iter(outputs.values())).sparkSession
+    version = uuid.uuid4().hex
+    write_clean(outputs, f"{directory}/versions/{version}")
+    entry = [(_latest(spark, directory)[0] + 1, version, sorted(outputs))]
+    spark.createDataFrame(entry, _MANIFEST).coalesce(1).write.mode("append").parquet(f"{directory}/manifest")
+    return version
+
+
+def read_version(spark: SparkSession, directory: str, name: str) -> DataFrame | None:
+    """A table of the newest complete build; None if there is no build or it lacks the table."""
+    _, version, tables = _latest(spark, directory)
+    return read_clean(spark, f"{directory}/versions/{version}", name) if name in tables else None
+
+
+def _latest(spark: SparkSession, directory: str) -> tuple[int, str, list[str]]:
+    from heliospark.sources.tables import read_or_build
+    manifest = read_or_build(spark, f"{directory}/manifest", lambda: spark.createDataFrame([], _MANIFEST), _MANIFEST)
+    newest = manifest.orderBy(F.desc("sequence"), F.desc("version")).first()
+    return tuple(newest) if newest else (0, "", [])
+
+
 def save_run(models: dict[tuple[int, str], PipelineModel], metrics: DataFrame, directory: str,
              plants: DataFrame | None = None, features: list[str] | None = None) -> None:
     """Save fitted models by plant and kind, the comparison registry and what is needed to score with them again.
