@@ -3,8 +3,9 @@
 A bounded sample fits centroids (balanced k-means, on vectors extended so that the largest inner product is the smallest
 distance). Centroids are searched by beam search in a neighbour graph that every task holds. Each vector goes to its
 nearest list and to others about as near (boundary vectors), unless a chosen centroid already lies nearer to them. A query
-takes the lists whose distance stays within a ratio of the nearest, at least as many as hold ``MIN_VECTORS``. Lists larger
-than ``SHARD`` are split into shards and a list's queries into blocks, so no task's group is unbounded; all are compared.
+takes the lists whose distance stays within a ratio of the nearest, at least as many as hold ``MIN_VECTORS``. Neighbouring
+lists form groups, in which a query meets the vectors of its own lists and leaves its k best. Groups larger than ``SHARD``
+are split into shards and a group's queries into blocks, so no task's group is unbounded; all are compared.
 """
 
 from __future__ import annotations
@@ -26,7 +27,9 @@ BOUNDARY = 1.15
 RATIO = 1.6
 FIRST_PROBES = 40  # lists looked up in the graph before a query is compared with all centroids
 MIN_VECTORS = 2000
-SHARD = 4096
+GROUP = 32  # lists that are searched together
+SHARD = 16_384  # vectors of a group that are searched together
+QUERIES = 4096
 DEGREE = 16
 BEAM = 64
 
@@ -128,7 +131,6 @@ def _usable(dimension: int | None):
 def _postings(shared):
     def run(batches):
         graph, most = shared.value
-        spread = _distances(graph.centroids, graph.centroids)
         for batch in batches:
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)
@@ -137,7 +139,8 @@ def _postings(shared):
                 take[:, 0] = True
                 for j in range(1, lists.shape[1]):
                     for i in range(j):
-                        take[:, j] &= ~(take[:, i] & (spread[lists[:, i], lists[:, j]] < dist[:, j]))
+                        apart = ((graph.centroids[lists[:, i]] - graph.centroids[lists[:, j]]) ** 2).sum(1)
+                        take[:, j] &= ~(take[:, i] & (apart < dist[:, j]))
                 row, column = np.nonzero(take)
                 yield pa.RecordBatch.from_arrays([pa.array(lists[row, column].astype(np.int32)), part.column("vec_id").take(pa.array(row)), part.column("v").take(pa.array(row))],
                                                  names=["list", "vec_id", "v"])
@@ -169,7 +172,17 @@ def chosen_lists(graph: CentroidGraph, queries: np.ndarray, sizes: np.ndarray, l
     return np.concatenate(rows), np.concatenate(found)
 
 
-def _probes(shared, sizes: np.ndarray, k: int):
+def list_groups(centroids: np.ndarray) -> np.ndarray:
+    """Group of each list: lists in order along the direction in which centroids differ most."""
+    centred = centroids - centroids.mean(0)
+    along = centred @ np.linalg.eigh(centred.T @ centred)[1][:, -1]
+    groups = np.empty(len(centroids), np.int32)
+    groups[along.argsort(kind="stable")] = np.arange(len(centroids)) // GROUP
+    return groups
+
+
+def _probes(shared, sizes: np.ndarray, k: int, groups: np.ndarray | None = None):
+    """Lists of each query, a row each; with ``groups`` a row for each group and its lists."""
     def run(batches):
         graph, _ = shared.value
         for batch in batches:
@@ -177,25 +190,35 @@ def _probes(shared, sizes: np.ndarray, k: int):
                 part = batch.slice(start, 512)
                 vectors = _rows(part.column("v"))
                 row, found = chosen_lists(graph, np.column_stack([vectors, np.zeros(len(vectors))]), sizes, max(MIN_VECTORS, 40 * k))
-                yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), part.column("vec_id").take(pa.array(row)), part.column("v").take(pa.array(row))],
-                                                 names=["list", "query_id", "q"])
+                lists, names = pa.array(found.astype(np.int32)), ["list", "query_id", "q"]
+                if groups is not None:
+                    order = np.lexsort((groups[found], row))
+                    row, found = row[order], found[order]
+                    grp = groups[found]
+                    first = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (grp[1:] != grp[:-1])])) if len(row) else np.zeros(0, np.int64)
+                    lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(found)), pa.int32()), pa.array(found.astype(np.int32)))
+                    row, names = row[first], ["grp", "lists", "query_id", "q"]
+                values = [lists, part.column("vec_id").take(pa.array(row)), part.column("v").take(pa.array(row))]
+                yield pa.RecordBatch.from_arrays(values if groups is None else [pa.array(grp[first].astype(np.int32)), *values], names=names)
     return run
 
 
-def nearest_in(query_ids, queries, vec_ids, vectors, k: int) -> list[tuple[int, int, float]]:
-    """Exact k best of each query among the vectors: products prune, row sums in double precision decide."""
+def nearest_in(query_ids, queries, vec_ids, vectors, k: int, own: np.ndarray | None = None) -> list[tuple[int, int, float]]:
+    """Exact k best of each query among the vectors (those that ``own`` allows it): products prune, row sums in double precision decide."""
     rough = queries @ vectors.T
     bound = np.sqrt((queries * queries).sum(1) * (vectors * vectors).sum(1).max()) * 1e-10
-    out = []
-    for i in range(len(queries)):
-        other = np.flatnonzero(vec_ids != query_ids[i])
-        if len(other) > k:
-            least = np.partition(rough[i, other], len(other) - k)[len(other) - k]
-            other = other[rough[i, other] >= least - bound[i]]
-        scores = (vectors[other] * queries[i]).sum(1)
-        order = np.lexsort((vec_ids[other], -scores))[:k]
-        out += [(int(query_ids[i]), int(vec_ids[other[j]]), float(scores[j])) for j in order]
-    return out
+    rough[query_ids[:, None] == vec_ids] = -np.inf
+    if own is not None:
+        rough[~own] = -np.inf
+    keep_from = max(0, rough.shape[1] - k)
+    least = np.partition(rough, keep_from, axis=1)[:, keep_from] - bound
+    rows, columns = np.nonzero((rough >= least[:, None]) & np.isfinite(rough))
+    scores = (vectors[columns] * queries[rows]).sum(1)
+    order = np.lexsort((vec_ids[columns], -scores, rows))
+    rows, columns, scores = rows[order], columns[order], scores[order]
+    place = np.arange(len(rows)) - np.searchsorted(rows, rows)
+    best = place < k
+    return list(zip(query_ids[rows[best]].tolist(), vec_ids[columns[best]].tolist(), scores[best].tolist()))
 
 
 def _compare(k: int):
@@ -203,7 +226,16 @@ def _compare(k: int):
         out = []
         if left.num_rows and right.num_rows:
             vectors, ids = _rows(right.column("v").combine_chunks()), right.column("vec_id").to_numpy()
-            out = nearest_in(left.column("query_id").to_numpy(), _rows(left.column("q").combine_chunks()), ids, vectors, k)
+            names, where = np.unique(right.column("list").to_numpy(), return_inverse=True)
+            for at in range(0, left.num_rows, 256):
+                some = left.slice(at, 256)
+                wanted = some.column("lists").combine_chunks()
+                owner = np.repeat(np.arange(len(wanted)), wanted.value_lengths().to_numpy(zero_copy_only=False))
+                place = np.searchsorted(names, lists := wanted.flatten().to_numpy())
+                held = (place < len(names)) & (names[np.minimum(place, len(names) - 1)] == lists)
+                allowed = np.zeros((len(wanted), len(names)), bool)
+                allowed[owner[held], place[held]] = True
+                out += nearest_in(some.column("query_id").to_numpy(), _rows(some.column("q").combine_chunks()), ids, vectors, k, allowed[:, where])
         columns = list(zip(*out)) or [[]] * 3
         return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()))], names=["query_id", "vec_id", "score"])
     return run
@@ -220,7 +252,7 @@ def search(embeddings: DataFrame, query_filter, k: int = 20, list_size: int = LI
     """
     spark = embeddings.sparkSession
     schema = "vec_id long, v array<double>, size int, norm2 double"
-    raw = embeddings.select(F.col("vec_id").cast("long"), "embedding").mapInArrow(_usable(None), schema)
+    raw = keep(embeddings.select(F.col("vec_id").cast("long"), "embedding").mapInArrow(_usable(None), schema), "vectors")
     shapes = raw.groupBy("size").agg(F.count("*").alias("n"), F.max("norm2").alias("most"))
     common = shapes.orderBy(F.desc("n"), F.desc("size")).first()
     if common is None:
@@ -236,14 +268,17 @@ def search(embeddings: DataFrame, query_filter, k: int = 20, list_size: int = LI
     sizes = np.zeros(lists, np.int64)
     for r in postings.groupBy("list").count().collect():
         sizes[r["list"]] = r["count"]
-    probes = keep(usable.where(query_filter).select("vec_id", "v").mapInArrow(_probes(shared, sizes, k), "list int, query_id long, q array<double>"), "probes")
-    cuts = (probes.groupBy("list").agg(F.ceil(F.count("*") / SHARD).cast("int").alias("blocks"))
-            .join(postings.groupBy("list").agg(F.ceil(F.count("*") / SHARD).cast("int").alias("shards")), "list"))
-    queries = (probes.join(cuts, "list").withColumn("block", F.pmod(F.xxhash64("query_id"), "blocks").cast("int"))
-               .select("list", "block", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"), "query_id", "q"))
-    members = (postings.join(cuts, "list").withColumn("shard", F.pmod(F.xxhash64("vec_id"), "shards").cast("int"))
-               .select("list", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "shard", "vec_id", "v"))
-    keys = ["list", "block", "shard"]
+    groups = list_groups(shared.value[0].centroids)
+    probes = keep(usable.where(query_filter).select("vec_id", "v").mapInArrow(_probes(shared, sizes, k, groups), "grp int, lists array<int>, query_id long, q array<double>"), "probes")
+    of_list = spark.createDataFrame([(i, int(g)) for i, g in enumerate(groups)], "list int, grp int")  # MAX_LISTS rows at most
+    members = postings.join(F.broadcast(of_list), "list")
+    cuts = (probes.groupBy("grp").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("blocks"))
+            .join(members.groupBy("grp").agg(F.ceil(F.count("*") / SHARD).cast("int").alias("shards")), "grp"))
+    queries = (probes.join(cuts, "grp").withColumn("block", F.pmod(F.xxhash64("query_id"), "blocks").cast("int"))
+               .select("grp", "block", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"), "query_id", "lists", "q"))
+    members = (members.join(cuts, "grp").withColumn("shard", F.pmod(F.xxhash64("vec_id"), "shards").cast("int"))
+               .select("grp", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "shard", "list", "vec_id", "v"))
+    keys = ["grp", "block", "shard"]
     found = queries.groupBy(*keys).cogroup(members.groupBy(*keys)).applyInArrow(_compare(k), "query_id long, vec_id long, score double")
     found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
