@@ -171,6 +171,27 @@ def outlook_scenario(x: Fixture):
     return outlook.outlook_weather(weather_outlook(x.weather_raw), known, F.expr("TIMESTAMP_NTZ'2024-01-25 00:00:00'"))
 
 
+@query("outlook_by_plant", "A35 U1", f"""
+WITH s AS (SELECT plant_id, CAST(CAST(max(generation_date) AS DATE) + 1 AS TIMESTAMP) AS start FROM hourly GROUP BY 1),
+r AS (SELECT plant_id, b.*, row_number() OVER (PARTITION BY plant_id ORDER BY timestamp) AS k FROM s JOIN ({_bucket_sql("true")}) b ON b.timestamp >= start),
+e AS (SELECT plant_id FROM r GROUP BY 1 HAVING count(*) >= 8)
+SELECT plant_id, timestamp AS generation_date, {", ".join(_3H)}, false AS is_replay FROM r WHERE k <= 40 AND plant_id IN (SELECT plant_id FROM e)
+UNION ALL SELECT plant_id, timestamp, {", ".join(_3H)}, true FROM s CROSS JOIN ({_REPLAY_SQL}) q WHERE plant_id NOT IN (SELECT plant_id FROM e)""", " ".join(_3H))
+def outlook_by_plant(x: Fixture):
+    """Every plant's own start, from its last hour."""
+    return outlook.outlook_for_plants(weather_outlook(x.weather_raw), x.hourly, F.expr("TIMESTAMP_NTZ'2024-01-25 00:00:00'"))
+
+
+@query("forecast_feature_stats", "A30", " UNION ALL ".join(
+    f"SELECT plant_id, '{c}' AS feature, min({c}) AS min_value, max({c}) AS max_value, avg({c}) AS mean_value FROM fc_out GROUP BY 1"
+    for c in ("elevation", "ghi", "temp", "clouds_all", "cloud_impact", "effective_irradiance", "production_lag_24h", "production_lag_168h", "production_7d_mean", "temp_7d_mean", "predicted_kwh")),
+       "min_value max_value mean_value")
+def forecast_feature_stats(x: Fixture):
+    """Range and mean of what the forecast was made from."""
+    names = ("elevation", "ghi", "temp", "clouds_all", "cloud_impact", "effective_irradiance", "production_lag_24h", "production_lag_168h", "production_7d_mean", "temp_7d_mean", "predicted_kwh")
+    return outlook.forecast_feature_stats(forecast(x), names)
+
+
 @query("weather_for_plants", "A35 U1", f"""
 SELECT plant_id, q.* RENAME (timestamp AS generation_date) FROM fleet CROSS JOIN ({_REPLAY_SQL}) q""", " ".join(_3H))
 def weather_for_plants(x: Fixture):

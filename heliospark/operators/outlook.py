@@ -14,6 +14,7 @@ from heliospark.functions.numbers import sum_or_zero
 from heliospark.operators.features import (add_solar, add_temporal, add_weather_features, filter_daytime,
                                            interpolate_linear)
 from heliospark.operators.hourly import fill_gaps
+from heliospark.sources.intermediate import materialize
 
 OUTLOOK_STEPS = 40
 MIN_SCENARIO_STEPS = 8
@@ -61,6 +62,45 @@ def outlook_weather(weather: DataFrame, history: DataFrame, as_of: Column) -> Da
         F.when(F.col("_steps") >= MIN_SCENARIO_STEPS, ~F.col("is_replay")).otherwise(F.col("is_replay"))).drop("_steps")
 
 
+def outlook_for_plants(weather: DataFrame, history: DataFrame, as_of: Column) -> DataFrame:
+    """Each plant's outlook: its scenario from the day after its own last production, or the replay when too few buckets follow.
+
+    ``weather`` is the shared site's. Usable buckets are numbered along the calendar, within months and then over months, a
+    start looks its place up in its own month, and the forty numbers that follow are joined by equality: no plant
+    is compared with the whole timeline. Plants with the same last day share the work. Returns ``plant_id``,
+    ``generation_date``, the weather columns and ``is_replay``.
+    """
+    month = F.trunc(F.col("timestamp"), "month")
+    usable = weather_3h(weather).withColumn("_month", month)
+    in_month = F.row_number().over(Window.partitionBy("_month").orderBy("timestamp"))
+    usable = usable.withColumn("_place", in_month)
+    months = usable.groupBy("_month").agg(F.count("*").alias("_n"))
+    earlier = F.coalesce(F.sum("_n").over(Window.orderBy("_month").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row a month
+    months = materialize(months.withColumn("_before", earlier), "outlook-months")
+    numbered = materialize(usable.join(months, "_month").withColumn("_number", F.col("_before") + F.col("_place")), "outlook-buckets")
+
+    last = history.groupBy("plant_id").agg(F.max("generation_date").alias("_last"))
+    plants = materialize(last.select("plant_id", F.date_add(F.col("_last").cast("date"), 1).cast("timestamp_ntz").alias("_start")), "outlook-plants")
+    starts = plants.select("_start").where("_start IS NOT NULL").distinct().withColumn("_month", F.trunc("_start", "month"))
+    behind = (starts.join(numbered.select("_month", "timestamp"), "_month", "left").groupBy("_start", "_month")
+              .agg(F.count_if(F.col("timestamp") < F.col("_start")).alias("_inside")))
+    first = behind.join(months, "_month", "left").select("_start", "_month", "_inside", "_before")
+    # a start beyond or between the months of the weather stands after all months before its own
+    gap = first.where("_before IS NULL").join(months.select(F.col("_month").alias("_m"), "_n"), F.col("_m") < F.col("_month"), "left")
+    gap = gap.groupBy("_start").agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_from"))
+    placed = first.where("_before IS NOT NULL").select("_start", (F.col("_before") + F.col("_inside")).alias("_from")).unionByName(gap)
+    wanted = placed.select("_start", F.explode(F.sequence(F.col("_from") + 1, F.col("_from") + OUTLOOK_STEPS)).alias("_number"))
+    columns = [c for c in numbered.columns if c not in ("_month", "_place", "_n", "_before", "_number")]
+    scenario = materialize(wanted.join(numbered, "_number").select("_start", *columns), "outlook-scenarios")
+    enough = scenario.groupBy("_start").agg(F.count("*").alias("_steps")).where(F.col("_steps") >= MIN_SCENARIO_STEPS).select("_start")
+
+    ahead = plants.join(enough, "_start", "left_semi").join(scenario, "_start").select("plant_id", *columns)
+    others = plants.join(enough, "_start", "left_anti").select("plant_id")
+    replay = weather_for_plants(weather_replay(weather, as_of).select(*columns), others)
+    ahead = ahead.withColumnRenamed("timestamp", "generation_date").withColumn("is_replay", F.lit(False))
+    return ahead.unionByName(replay.withColumn("is_replay", F.lit(True)))
+
+
 def upsample_hourly(df: DataFrame, keys: Sequence[str] = ("plant_id",), ts: str = "generation_date") -> DataFrame:
     """Hourly rows between 3-hourly ones: numbers interpolated forward, texts carried forward.
 
@@ -131,11 +171,21 @@ def forecast_features(weather: DataFrame, history: DataFrame | None, plants: Dat
 
 def weather_for_plants(weather: DataFrame, plants: DataFrame) -> DataFrame:
     """The shared site's outlook (at most forty rows) repeated for every plant."""
+    weather = weather.orderBy("timestamp").limit(OUTLOOK_STEPS)
     rows = plants.select("plant_id", F.explode(weather.agg(
         F.collect_list(F.struct(*weather.columns))).scalar()).alias("w")).select("plant_id", "w.*")
     return rows.withColumnRenamed("timestamp", "generation_date")
 
 
+def forecast_feature_stats(forecast: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Minimum, maximum and mean of forecast columns per plant, in one aggregate."""
+    value = {c: F.col(c).cast("double") for c in columns}
+    wide = forecast.groupBy("plant_id").agg(*[
+        F.struct(F.min(v).alias("min_value"), F.max(v).alias("max_value"), F.avg(v).alias("mean_value")).alias(c) for c, v in value.items()])
+    pairs = ", ".join(f"'{c}', `{c}`" for c in columns)
+    return wide.selectExpr("plant_id", f"stack({len(value)}, {pairs}) AS (feature, r)").select("plant_id", "feature", "r.*")
+
+
 def weather_ranges(weather: DataFrame, columns: Sequence[str] = ("temp", "humidity", "clouds_all", "wind_speed")) -> DataFrame:
     """Overall minimum and maximum per weather column."""
     wide = weather.agg(*[F.struct(F.min(c).alias("min_value"), F.max(c).alias("max_value")).alias(c) for c in columns])

@@ -65,3 +65,22 @@ def test_a_build_that_breaks_off_leaves_the_one_before(spark, tmp_path):
     sinks.write_version({"plants_clean": newer["plants_clean"]}, folder)
     assert sinks.read_version(spark, folder, "plants_clean").first().plant_name == "b"
     assert sinks.read_version(spark, folder, "hourly_model_targets") is None
+
+
+def test_plants_with_other_last_days_get_their_own_outlook(spark):
+    """Starts within, between, before and beyond the months of the weather; too few buckets after it mean a replay."""
+    from heliospark.operators import outlook
+    hours = [dt.datetime(2024, 1, 28) + dt.timedelta(hours=h) for h in range(24 * 8)] + [dt.datetime(2024, 4, 1) + dt.timedelta(hours=h) for h in range(24 * 6)]
+    weather = spark.createDataFrame([(t, float(i), None if t.hour // 3 == 2 and t.month == 1 else 1.0, 1.0, 1.0, 1.0) for i, t in enumerate(hours)],
+                                    "timestamp timestamp_ntz, temp double, pressure double, humidity double, clouds_all double, wind_speed double")
+    last = {1: dt.datetime(2024, 1, 29, 17), 2: dt.datetime(2024, 2, 2, 3), 3: dt.datetime(2024, 3, 10), 4: dt.datetime(2024, 4, 6, 1), 5: dt.datetime(2023, 5, 1), 6: dt.datetime(2024, 4, 5, 1), 7: dt.datetime(2024, 1, 29, 2)}
+    history = spark.createDataFrame([(p, t) for p, t in last.items()] + [(1, dt.datetime(2024, 1, 5))], "plant_id long, generation_date timestamp_ntz")
+    got = outlook.outlook_for_plants(weather, history, F.expr("TIMESTAMP_NTZ'2024-02-01 00:00:00'")).collect()
+    buckets = sorted({t.replace(hour=t.hour // 3 * 3) for t in hours if not (t.hour // 3 == 2 and t.month == 1)})
+    for plant, t in last.items():
+        start = dt.datetime(t.year, t.month, t.day) + dt.timedelta(days=1)
+        ahead = [b for b in buckets if b >= start][:40]
+        replay = len(ahead) < 8
+        want = [b for b in buckets if b <= dt.datetime(2024, 2, 1)][-40:] if replay else ahead
+        mine = sorted((r.generation_date, r.is_replay) for r in got if r.plant_id == plant)
+        assert mine == [(b, replay) for b in want], plant
