@@ -8,17 +8,22 @@ A suffix is a window start; only its first ``span`` words matter, so trees are c
 3. For the others, the stretches' words travel. Groups that many documents hold get a longer prefix (a second anchor
    in the key). Equal stretches are reduced to their least doc_id before the shuffle, so a passage that a third of all
    documents share costs one row for each map task.
-4. A task sorts its groups' suffixes word by word; neighbours' common prefixes (LCP) are the subtree's internal nodes.
+4. Groups are counted, in suffixes of different stretches, before words travel. One beyond ``GROUP_SUFFIXES`` (a passage
+   shorter than ``span`` that many documents hold among other words) is split by the longest prefix, ``span`` words: each
+   suffix is then a leaf of its own, and its owner a grouped minimum that any number of tasks share.
+5. A task sorts its other groups' suffixes word by word; neighbours' common prefixes (LCP) are the subtree's internal nodes.
    A node of depth ``span`` is a repeat, its least doc_id the owner. Overlapping repeats join to maximal ones.
-5. Owners return to the occurrences, and words covered by a suffix with a smaller owner go.
+6. Owners return to the occurrences, and words covered by a suffix with a smaller owner go.
 """
 
 from __future__ import annotations
 
 import hashlib
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,7 +32,9 @@ from heliospark.llm.shared import chunks, keep, mixed, runs_of, signed, text_key
 SPAN = 50
 ANCHOR = 16
 LARGE_GROUP = 4096  # documents of a group from which its prefix is extended
-TREE_WINDOWS = 150_000  # suffixes sorted at once, if no group is larger
+GROUP_SUFFIXES = 50_000  # suffixes of a group from which its prefixes are whole windows
+TREE_WINDOWS = 150_000  # suffixes sorted at once
+STRETCH = 512  # suffixes of a stretch; longer ones, of words that repeat, are cut
 
 
 def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -90,17 +97,19 @@ def _stretches(span: int):
                     new = np.ones(len(n), bool)
                     new[1:] = (group[1:] != group[:-1]) | (good[1:] != good[:-1])
                     heads = np.flatnonzero(new)
-                    for a, b in zip(heads, np.append(heads[1:], len(n))):
-                        if good[a]:
-                            stop = p[b - 1] + span
+                    for head, b in zip(heads, np.append(heads[1:], len(n))):
+                        for a in range(head, b if good[head] else head, STRETCH):
+                            z = min(a + STRETCH, b)
+                            stop = p[z - 1] + span
                             limit = offsets[i + 1] if stop >= bounds[i + 1] else ends[stop]
                             text = b" ".join(raw[starts[p[a]]:limit].split())
                             digest = hashlib.blake2b(text, digest_size=16).digest()
-                            out.append((int(group[a]), digest, text, int(doc[first + i]), int(key[first + i]), int(p[a] - bounds[i])))
+                            out.append((int(group[a]), digest, text, int(z - a), int(doc[first + i]), int(key[first + i]), int(p[a] - bounds[i])))
                 if out:
-                    g, d, t, i, k, s = zip(*out)
-                    yield pa.RecordBatch.from_arrays([pa.array(g, pa.int64()), pa.array(d, pa.binary()), pa.array(t, pa.binary()), pa.array(i, pa.int64()),
-                                                      pa.array(k, pa.int64()), pa.array(s, pa.int64())], names=["g", "stretch", "words", "doc_id", "tkey", "start"])
+                    g, d, t, n, i, k, s = zip(*out)
+                    yield pa.RecordBatch.from_arrays([pa.array(g, pa.int64()), pa.array(d, pa.binary()), pa.array(t, pa.binary()), pa.array(n, pa.int64()),
+                                                      pa.array(i, pa.int64()), pa.array(k, pa.int64()), pa.array(s, pa.int64())],
+                                                     names=["g", "stretch", "words", "suffixes", "doc_id", "tkey", "start"])
     return run
 
 
@@ -140,23 +149,83 @@ def _trees(span: int):
             return pa.RecordBatch.from_arrays([pa.array(table.column("stretch").to_pylist(), pa.binary()),
                                                pa.array([o.astype("<i8").tobytes() for o in owners], pa.binary())], names=["stretch", "owners"])
 
+        def pieces(table, last):
+            """Whole groups of about ``TREE_WINDOWS`` suffixes, and what is left; the last group may go on."""
+            g = table.column("g").to_numpy()
+            heads = np.flatnonzero(np.append(True, g[1:] != g[:-1]))
+            before = np.append(0, np.cumsum(table.column("suffixes").to_numpy()))[heads]
+            at = 0
+            while at < len(heads) - (not last):
+                stop = max(at + 1, int(np.searchsorted(before, before[at] + TREE_WINDOWS, "right")) - 1)
+                stop = min(stop, len(heads) - (not last))
+                end = heads[stop] if stop < len(heads) else len(g)
+                yield table.slice(heads[at], end - heads[at]), end
+                at = stop
+
         for batch in batches:
             if not batch.num_rows:
                 continue
             held.append(pa.Table.from_batches([batch]))
-            rows += batch.num_rows
-            if rows * 25 >= TREE_WINDOWS:
-                table = pa.concat_tables(held).combine_chunks()
-                g = table.column("g").to_numpy()
-                cut = int(np.searchsorted(g, g[-1]))  # the last group may go on
-                if cut:
-                    yield build(table.slice(0, cut))
-                held, rows = [table.slice(cut)], table.num_rows - cut
+            rows += pc.sum(batch.column("suffixes")).as_py()
+            if rows >= TREE_WINDOWS:
+                table, done = pa.concat_tables(held).combine_chunks(), 0
+                for piece, done in pieces(table, False):
+                    yield build(piece)
+                held = [table.slice(done)]
+                rows = pc.sum(held[0].column("suffixes")).as_py()
         if rows:
-            yield build(pa.concat_tables(held).combine_chunks())
+            for piece, _ in pieces(pa.concat_tables(held).combine_chunks(), True):
+                yield build(piece)
+    return run
+
+
+def _windows(span: int):
+    """Digests of all windows of stretches, with their places in these."""
+    names = ["window", "stretch", "place", "doc_id"]
+
+    def batch_of(rows):
+        w, s, p, d = zip(*rows)
+        return pa.RecordBatch.from_arrays([pa.array(w, pa.binary()), pa.array(s, pa.binary()), pa.array(p, pa.int64()), pa.array(d, pa.int64())], names=names)
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for stretch, text, doc in zip(*(batch.column(k).to_pylist() for k in ("stretch", "words", "doc_id"))):
+                ends = list(accumulate(len(w) + 1 for w in text.split(b" ")))
+                for i in range(len(ends) - span + 1):
+                    window = text[ends[i - 1] if i else 0:ends[i + span - 1] - 1]
+                    out.append((hashlib.blake2b(window, digest_size=16).digest(), stretch, i, doc))
+                if len(out) >= TREE_WINDOWS:
+                    yield batch_of(out)
+                    out = []
+            if out:
+                yield batch_of(out)
     return run
 
 
+def _owner_lists(batches):
+    """Owners of a stretch's suffixes: its own least document, but for the places where another stretch has a smaller one."""
+    for batch in batches:
+        out = []
+        for n, doc, places, owners in zip(*(batch.column(k).to_pylist() for k in ("suffixes", "doc_id", "places", "owners"))):
+            own = np.full(n, doc, "<i8")
+            if places:
+                own[places] = owners
+            out.append(own.tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column("stretch"), pa.array(out, pa.binary())], names=["stretch", "owners"])
+
+
+def _owners_by_window(distinct: DataFrame, span: int) -> DataFrame:
+    """``stretch`` and ``owners`` of groups too large for a tree, from one grouped minimum over their windows."""
+    distinct = keep(distinct.select("stretch", "words", "suffixes", "doc_id"), "large")
+    windows = keep(distinct.mapInArrow(_windows(span), "window binary, stretch binary, place long, doc_id long"), "windows")
+    least = windows.groupBy("window").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("top")).where("owner < top").drop("top")
+    found = (windows.join(least, "window").where("owner < doc_id").groupBy("stretch")
+             .agg(F.collect_list(F.struct("place", "owner")).alias("s")))
+    joined = distinct.join(found, "stretch", "left").select("stretch", "suffixes", "doc_id", F.col("s.place").alias("places"), F.col("s.owner").alias("owners"))
+    return joined.mapInArrow(_owner_lists, "stretch binary, owners binary")
+
+
 def _covered(span: int):
     """Word intervals of an occurrence that suffixes with a smaller owner cover."""
     def run(batches):
@@ -181,11 +250,17 @@ def repeated_spans(docs: DataFrame, span: int = SPAN) -> DataFrame:
         F.collect_set(F.when(F.col("size") <= LARGE_GROUP, F.col("g"))).alias("shared"),
         F.collect_set(F.when(F.col("size") > LARGE_GROUP, F.col("g"))).alias("extended")))
     stretches = keep(keyed.join(lists, ["doc_id", "tkey"]).mapInArrow(
-        _stretches(span), "g long, stretch binary, words binary, doc_id long, tkey long, start long"), "stretches")
+        _stretches(span), "g long, stretch binary, words binary, suffixes long, doc_id long, tkey long, start long"), "stretches")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    distinct = stretches.groupBy("g", "stretch", "words").agg(F.min("doc_id").alias("doc_id"))
-    trees = (distinct.repartition(parts, "g").sortWithinPartitions("g")
+    large = keep(stretches.select("g", "stretch", "suffixes").distinct().groupBy("g").agg(F.sum("suffixes").alias("n"))
+                 .where(F.col("n") > GROUP_SUFFIXES).select("g"), "large-groups")
+
+    def distinct(of: DataFrame) -> DataFrame:
+        return of.groupBy("g", "stretch", "words", "suffixes").agg(F.min("doc_id").alias("doc_id"))
+    trees = (distinct(stretches.join(large, "g", "left_anti")).repartition(parts, "g").sortWithinPartitions("g")
              .mapInArrow(_trees(span), "stretch binary, owners binary"))
+    if not large.isEmpty():
+        trees = trees.union(_owners_by_window(distinct(stretches.join(large, "g", "left_semi")), span))
     return (stretches.select("stretch", "doc_id", "tkey", "start").join(trees, "stretch")
             .mapInArrow(_covered(span), "doc_id long, tkey long, lo long, hi long"))
 

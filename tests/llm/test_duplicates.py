@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 import brute
 import numpy as np
@@ -104,9 +105,11 @@ def test_components(spark):
     assert components.components(links.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("large", [4096, 1])
-def test_repeats_of_odd_rows(odd, odd_rows, empty, monkeypatch, large):
+@pytest.mark.parametrize("large, suffixes, stretch", [(4096, 50_000, 512), (1, 50_000, 3), (4096, 0, 512), (1, 40, 7)])
+def test_repeats_of_odd_rows(odd, odd_rows, empty, monkeypatch, large, suffixes, stretch):
     monkeypatch.setattr(substring_dedup, "LARGE_GROUP", large)
+    monkeypatch.setattr(substring_dedup, "GROUP_SUFFIXES", suffixes)
+    monkeypatch.setattr(substring_dedup, "STRETCH", stretch)
     want = [(d, n, gone, hashlib.sha256(kept.encode()).hexdigest()) for d, n, gone, kept in brute.remove_repeats([r for r in odd_rows if r[0] is not None])]
     rows = substring_dedup.remove_repeats(odd).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()
     assert sorted(tuple(r) for r in rows if r.doc_id is not None) == want
@@ -121,6 +124,33 @@ def test_repeats_of_documents(small, span):
     assert sorted(map(tuple, got)) == [(d, n, g, hashlib.sha256(k.encode()).hexdigest()) for d, n, g, k in brute.remove_repeats(rows, span)]
 
 
+def test_common_short_passages_are_split_until_groups_fit(spark, monkeypatch):
+    """A passage shorter than the window among other words in all documents, one longer than it, and many equal words."""
+    pick = random.Random(11)
+    short, long = ([f"{name}{i}" for i in range(n)] for name, n in (("s", 40), ("l", 70)))
+    rows = []
+    for d in range(300):
+        own = [f"{d}-{i}" for i in range(60)]
+        rows.append((d, " ".join(own[:20] + short + own[20:40] + (long if pick.random() < 0.3 else []) + own[40:] + (["same"] * 120 if d % 50 == 0 else []))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    monkeypatch.setattr(substring_dedup, "LARGE_GROUP", 50)
+    monkeypatch.setattr(substring_dedup, "GROUP_SUFFIXES", 200)
+    monkeypatch.setattr(substring_dedup, "TREE_WINDOWS", 300)
+    split = []
+    whole = substring_dedup._owners_by_window
+    monkeypatch.setattr(substring_dedup, "_owners_by_window", lambda *a: split.append(whole(*a)) or split[-1])
+    trees = substring_dedup.suffix_owners
+
+    def measured(group, texts, doc, span):
+        size = sum(len(t.split()) - span + 1 for t in texts)
+        assert size <= 500, size
+        return trees(group, texts, doc, span)
+    monkeypatch.setattr(substring_dedup, "suffix_owners", measured)
+    got = substring_dedup.remove_repeats(docs).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()
+    assert sorted(map(tuple, got)) == [(d, n, g, hashlib.sha256(k.encode()).hexdigest()) for d, n, g, k in brute.remove_repeats(rows)]
+    assert split and split[0].count() > 200
+
+
 def test_suffix_owners_finds_the_least_document():
     texts = [b"a b c d", b"b c d e", b"a b c d", b"b c d e"]
     owners = substring_dedup.suffix_owners(np.array([1, 1, 1, 2]), texts, np.array([5, 3, 9, 4]), 3)
