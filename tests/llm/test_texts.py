@@ -168,16 +168,66 @@ def test_licences(spark, odd, odd_rows, empty):
     assert license_scan.license_scan(odd).count() == len(odd_rows) and license_scan.license_scan(empty).count() == 0
 
 
-def test_pruning_loses_no_licence():
-    """Against every template compared with every unit."""
-    matcher = license_scan.Matcher(license_scan.TEMPLATES, 0.6)
+def _every_run(text, templates, threshold):
+    """Dice of each template with every run of words."""
+    words = license_scan.normalised(text)
+    found = {}
+    for name, template in templates.items():
+        wanted = license_scan.bigrams(license_scan.normalised(template))
+        m, best = sum(wanted.values()), None
+        for i in range(len(words) - 1 if m else 0):
+            left, common = dict(wanted), 0
+            for j in range(i + 1, len(words)):
+                g = words[j - 1], words[j]
+                if left.get(g, 0):
+                    left[g] -= 1
+                    common += 1
+                dice = 2 * common / (j - i + m)
+                if dice >= threshold and (best is None or dice > best[0]):
+                    best = dice, i, j - i + 1
+        if best:
+            found[name] = best
+    return found
+
+
+def test_pruning_loses_no_run_of_words():
+    """Against every template compared with every run, texts read whole and in small pieces."""
     pick = random.Random(4)
-    for name, text in license_scan.TEMPLATES.items():
-        for _ in range(20):
-            words = text.split()
-            for _ in range(pick.randint(0, max(1, len(words) // 4))):
-                words[pick.randrange(len(words))] = "other"
-            grams = license_scan.bigrams(license_scan.normalised(" ".join(words)))
-            best = max(((2 * len(grams & s) / (len(grams) + len(s)), n) for n, s in matcher.sets.items()))[0]
-            hit = matcher.best(" ".join(words))
-            assert (hit[1] if hit else 0) == pytest.approx(best if best >= 0.6 else 0), name
+    templates = {n: license_scan.TEMPLATES[n] for n in ("MIT-notice", "Apache-2.0-notice", "GPL-3.0-notice", "CC-BY-4.0-notice", "CC-BY-SA-4.0-notice", "MPL-2.0", "GPL-3.0-header")}
+    templates |= {"repeats": "a b a b a c a b", "word": "one", "none": "?!"}
+    for threshold in (0.8, 0.6):
+        matcher = license_scan.Matcher(templates, threshold)
+        hits = 0
+        for _ in range(60):
+            words = []
+            for _ in range(pick.randint(1, 3)):
+                part = pick.choice(list(templates.values())).split()
+                for _ in range(pick.randint(0, max(1, len(part) // 5))):
+                    at = pick.randrange(len(part))
+                    part[at:at + pick.randint(0, 1)] = [pick.choice(["other", "the", "license", "a", "b"])]
+                words += part + [pick.choice(["under the", "a b", "x", "this work is"])] * pick.randint(0, 3)
+            text = " ".join(words)
+            want = _every_run(text, templates, threshold)
+            hits += len(want)
+            assert matcher.scan(text) == want
+            assert matcher.scan(text, 7) == want
+        assert hits > 30
+
+
+def test_licences_inside_files(spark):
+    """Whole licences as files carry them: after names, in comments, over several paragraphs, in mid-line, in very long texts."""
+    def commented(name):
+        words = license_scan.TEMPLATES[name].split()
+        return "/*\n * Copyright (c) 2020 Some Body\n *\n" + "".join(f" * {' '.join(words[i:i + 11])}\n" + " *\n" * (i % 33 == 0) for i in range(0, len(words), 11)) + " */\nint main() { return 0; }\n"
+    files = {n: commented(n) for n in license_scan.TEMPLATES}
+    filler = "words of a long text that names no licence and a copy of the source " * 20_000
+    middle = {n: filler + license_scan.TEMPLATES[n] + " " + filler for n in ("BSD-3-Clause", "CC-BY-NC-4.0-notice")}
+    texts = [*files.items(), *middle.items(), ("MIT", (license_scan.TEMPLATES["MIT"] + "\n") * 500), ("ISC", "x" * 3_000_000 + " " + license_scan.TEMPLATES["ISC"])]
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(texts)] + [(len(texts), filler)], "doc_id long, text string")
+    got = {r.doc_id: r for r in license_scan.license_scan(df).collect()}
+    for i, (name, _) in enumerate(texts):
+        assert name in got[i].licenses and got[i].scores[got[i].licenses.index(name)] == 1 == got[i].best_score, name
+    assert got[len(texts)].licenses == []
+    exact = got[len(files) + 1]
+    assert exact.first_words == [len(license_scan.normalised(filler))] and exact.n_words == [len(license_scan.normalised(license_scan.TEMPLATES["CC-BY-NC-4.0-notice"]))]
+
