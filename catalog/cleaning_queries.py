@@ -275,6 +275,18 @@ def hourly_source_diagnostics(x: Fixture):
         "delta_kwh_hourly_minus_5min", "delta_pct_hourly_vs_5min", "target_quality_flag", "target_quality_score")
 
 
+@query("source_diagnostics_without_log", "A10", """
+SELECT plant_id, generation_date, raw AS generation_kwh_5min_raw, n AS records_collected_5min, pct AS data_completeness_pct, five_ok AS five_min_available,
+  CASE WHEN five_ok THEN raw END AS generation_kwh_final, CASE WHEN five_ok THEN '5min_inverter' ELSE 'missing' END AS target_source,
+  CASE WHEN five_ok THEN '5min_primary' ELSE 'missing' END AS target_quality_flag, CAST(CASE WHEN five_ok THEN 3 ELSE 0 END AS INTEGER) AS target_quality_score
+FROM diagnostics WHERE n IS NOT NULL""", "generation_kwh_5min_raw data_completeness_pct generation_kwh_final")
+def source_diagnostics_without_log(x: Fixture):
+    """The diagnosis where no hourly log is given."""
+    return hourly.hourly_source_diagnostics(x.generation_5min, None, x.fleet, EXPECTED).select(
+        "plant_id", "generation_date", "generation_kwh_5min_raw", "records_collected_5min", "data_completeness_pct", "five_min_available",
+        "generation_kwh_final", "target_source", "target_quality_flag", "target_quality_score")
+
+
 def _diagnostics(x: Fixture):
     return hourly.hourly_source_diagnostics(x.generation_5min, x.generation_hourly, x.fleet, EXPECTED)
 

@@ -127,6 +127,40 @@ def source_roles(x: Fixture):
     return quality.source_roles(reduce(DataFrame.unionByName, parts))
 
 
+@query("source_status", "A14 A15 A16", """
+WITH c AS (
+  SELECT plant_id, 'five_min_kwh' AS source, count(DISTINCT stamp) AS n, min(stamp) AS lo, max(stamp) AS hi, epoch(max(stamp) - min(stamp)) / 300 + 1 AS e,
+  count(DISTINCT minute(stamp)) > 2 AS irregular_minutes FROM fleet_log WHERE event_id % 103 <> 0 GROUP BY 1
+  UNION ALL SELECT plant_id, 'hourly_inverter_kwh', count(DISTINCT date_trunc('hour', stamp)), min(date_trunc('hour', stamp)), max(date_trunc('hour', stamp)),
+  date_diff('hour', min(date_trunc('hour', stamp)), max(date_trunc('hour', stamp))) + 1, count(DISTINCT minute(stamp)) > 2
+  FROM fleet_log WHERE event_id % 103 <> 0 AND event_type = 'click' GROUP BY 1
+  UNION ALL SELECT 900001 + l_suppkey % 5, 'daily_inverter_kwh', count(DISTINCT l_shipdate), CAST(min(l_shipdate) AS TIMESTAMP), CAST(max(l_shipdate) AS TIMESTAMP),
+  date_diff('day', CAST(min(l_shipdate) AS DATE), CAST(max(l_shipdate) AS DATE)) + 1, false FROM lineitem GROUP BY 1),
+k AS (SELECT plant_id, source, status FROM fleet CROSS JOIN (VALUES ('five_min_kwh', 'Unavailable: no rows for selected plant'),
+  ('hourly_inverter_kwh', 'Unavailable: no rows for selected plant'), ('daily_inverter_kwh', 'Unavailable: no rows for selected plant'),
+  ('hourly_meter_kwh', 'Missing file'), ('billing_meter_kwh', 'Unavailable: required columns not found')) v(source, status)),
+j AS (SELECT k.plant_id, k.source, CASE WHEN n IS NULL THEN k.status ELSE 'Available' END AS status, lo AS first_bucket, hi AS last_bucket,
+  CAST(e AS BIGINT) AS expected_records, n AS collected_records, greatest(CAST(e AS BIGINT) - n, 0) AS missing_records, n * 100.0 / e AS completeness_pct,
+  CAST(floor(epoch(TIMESTAMP '2024-03-01 12:00:00' - hi) / 86400) AS BIGINT) AS days_since_last_data, irregular_minutes
+  FROM k LEFT JOIN c ON c.plant_id = k.plant_id AND c.source = k.source),
+m AS (SELECT plant_id, completeness_pct AS model_pct FROM j WHERE source = 'five_min_kwh')
+SELECT j.plant_id, source, status, first_bucket, last_bucket, expected_records, collected_records,
+  CASE WHEN collected_records IS NOT NULL THEN missing_records END AS missing_records, completeness_pct, days_since_last_data,
+  CASE WHEN status = 'Missing file' THEN 'Missing' WHEN status <> 'Available' THEN 'Unavailable' WHEN days_since_last_data <= 7 THEN 'CURRENT'
+    WHEN days_since_last_data <= 30 THEN 'RECENT' WHEN days_since_last_data <= 90 THEN 'STALE' ELSE 'VERY STALE' END AS freshness,
+  irregular_minutes, CASE WHEN source = 'five_min_kwh' AND model_pct < 95 THEN 'Primary model source (partial)'
+    WHEN source = 'five_min_kwh' THEN 'Cleaned hourly model target source' WHEN source = 'hourly_inverter_kwh' THEN 'Confirmation / inverter cross-check'
+    WHEN source = 'daily_inverter_kwh' THEN 'Aggregate confirmation' WHEN source = 'hourly_meter_kwh' THEN 'Meter cross-check'
+    ELSE 'Aggregate meter check' END AS role
+FROM j JOIN m USING (plant_id)""", "completeness_pct")
+def source_status(x: Fixture):
+    """One source is missing, one has lost its time column, and one, a log that ends years earlier, is stale."""
+    old = x.history.select("plant_id", F.col("generation_date").cast("string").alias("generation_date"))
+    return quality.source_status({
+        config.FIVE_MIN: x.generation_5min, config.HOURLY_INVERTER: x.generation_hourly, config.DAILY_INVERTER: old,
+        config.HOURLY_METER: None, config.BILLING_METER: x.meter_billing.withColumnRenamed("date", "day")}, x.fleet, as_of())
+
+
 _OVERVIEW_DOUBLES = ("data_quality_score usable_daylight_pct source_agreement_score hourly_inverter_match_pct daily_inverter_ratio "
                      "daily_inverter_corr hourly_meter_ratio hourly_meter_corr billing_meter_ratio billing_meter_corr")
 
@@ -199,21 +233,21 @@ def audit(x: Fixture):
 
 _ISSUES_SQL = """
 SELECT plant_id, 'Coverage Gap' AS type, 'HIGH' AS severity, 'Data stops on ' || CAST(CAST(end_date AS DATE) AS VARCHAR) || ', ' || days_since_last_data || ' days ago' AS description,
-  days_since_last_data AS count FROM ({0}) WHERE days_since_last_data > 1
-UNION ALL SELECT plant_id, 'Timestamp Gaps', 'MEDIUM', timestamp_gaps || ' gaps > 1 hour found in data sequence', timestamp_gaps FROM ({0}) WHERE timestamp_gaps > 0
-UNION ALL SELECT plant_id, 'Negative Values', 'HIGH', negative_values || ' records with negative generation', negative_values FROM ({0}) WHERE negative_values > 0
+  days_since_last_data AS count, CAST(NULL AS DOUBLE) AS largest_gap_hours FROM ({0}) WHERE days_since_last_data > 1
+UNION ALL SELECT plant_id, 'Timestamp Gaps', 'MEDIUM', timestamp_gaps || ' gaps > 1 hour found in data sequence', timestamp_gaps, largest_gap_hours FROM ({0}) WHERE timestamp_gaps > 0
+UNION ALL SELECT plant_id, 'Negative Values', 'HIGH', negative_values || ' records with negative generation', negative_values, NULL FROM ({0}) WHERE negative_values > 0
 UNION ALL """
-_NIGHT_SQL = """SELECT plant_id, 'Nighttime Production', '{1}', {2} || '{3}', {2} FROM ({0}) WHERE {2} > 0"""
+_NIGHT_SQL = """SELECT plant_id, 'Nighttime Production', '{1}', {2} || '{3}', {2}, NULL FROM ({0}) WHERE {2} > 0"""
 
 
 @query("audit_issues", "A20", (_ISSUES_SQL + _NIGHT_SQL).format(
-    _AUDIT_SQL, "MEDIUM", "nighttime_production", " records with production when sun is below horizon (solar elevation ≤ 0°)"))
+    _AUDIT_SQL, "MEDIUM", "nighttime_production", " records with production when sun is below horizon (solar elevation ≤ 0°)"), "largest_gap_hours")
 def audit_issues(x: Fixture):
     return quality.audit_issues(quality.audit(x.audit_rows, as_of()))
 
 
 @query("audit_issues_by_clock", "A20 P7", (_ISSUES_SQL + _NIGHT_SQL).format(
-    _AUDIT_SQL, "LOW", "clock_night", " records with production during night hours (20:00-5:00) - approximate check"))
+    _AUDIT_SQL, "LOW", "clock_night", " records with production during night hours (20:00-5:00) - approximate check"), "largest_gap_hours")
 def audit_issues_by_clock(x: Fixture):
     return quality.audit_issues(quality.audit(x.audit_rows, as_of(), by_clock=True))
 

@@ -6,6 +6,8 @@ the grid exactly when its distance from the grid origin is a multiple of the ste
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from heliospark.functions import labels, times
 from heliospark.functions.numbers import (guarded_corr, ratio, score_closeness, score_correlation,
                                           weighted_score)
 from heliospark.functions.solar import with_solar_position
+from heliospark.operators.cleaning import select_plants
 from heliospark.operators.hourly import day_grid
 
 
@@ -126,10 +129,11 @@ def audit(rows: DataFrame, as_of: Column, by_clock: bool = False) -> DataFrame:
 
 
 def audit_issues(audited: DataFrame) -> DataFrame:
-    """One row per plant and issue found."""
-    def issue(test: Column, kind: str, severity: Column, text: Column, count: Column) -> Column:
-        return F.when(test, F.struct(F.lit(kind).alias("type"), severity.alias("severity"),
-                                     text.alias("description"), count.cast("long").alias("count")))
+    """One row per plant and issue found; timestamp gaps carry the largest one."""
+    def issue(test: Column, kind: str, severity: Column, text: Column, count: Column, largest: Column | None = None) -> Column:
+        largest = F.lit(None).cast("double") if largest is None else largest
+        return F.when(test, F.struct(F.lit(kind).alias("type"), severity.alias("severity"), text.alias("description"),
+                                     count.cast("long").alias("count"), largest.alias("largest_gap_hours")))
 
     since, gaps = F.col("days_since_last_data"), F.col("timestamp_gaps")
     negatives, night = F.col("negative_values"), F.col("nighttime_production")
@@ -142,7 +146,7 @@ def audit_issues(audited: DataFrame) -> DataFrame:
         issue(since > 1, "Coverage Gap", F.lit("HIGH"), F.format_string(
             "Data stops on %s, %d days ago", F.col("end_date").cast("date").cast("string"), since), since),
         issue(gaps > 0, "Timestamp Gaps", F.lit("MEDIUM"), F.format_string(
-            "%d gaps > 1 hour found in data sequence", gaps), gaps),
+            "%d gaps > 1 hour found in data sequence", gaps), gaps, F.col("largest_gap_hours")),
         issue(negatives > 0, "Negative Values", F.lit("HIGH"), F.format_string(
             "%d records with negative generation", negatives), negatives),
         issue(night > 0, "Nighttime Production", F.col("night_severity"), night_text, night)))
@@ -182,15 +186,64 @@ ROLES = {
 }
 
 
+# Time column and bucket in minutes per source, and the status texts.
+CATALOGUE = {
+    config.FIVE_MIN: ("generation_date", 5),
+    config.HOURLY_INVERTER: ("generation_date", 60),
+    config.DAILY_INVERTER: ("generation_date", 1440),
+    config.HOURLY_METER: ("date", 60),
+    config.BILLING_METER: ("date", 1440),
+}
+AVAILABLE, MISSING = "Available", "Missing file"
+NO_COLUMNS, NO_ROWS = "Unavailable: required columns not found", "Unavailable: no rows for selected plant"
+
+
+def source_status(sources: dict[str, DataFrame | None], plants: DataFrame, as_of_utc: Column) -> DataFrame:
+    """Completeness, freshness, status and role of every catalogued source for every plant, absent sources included.
+
+    ``sources`` holds raw tables by catalogue name; None or no entry means that the file is missing. A table
+    without its columns, or without a readable timestamp of a plant, is unavailable and never promoted.
+    """
+    found, states = [], []
+    for name, (ts, bucket) in CATALOGUE.items():
+        df = sources.get(name)
+        if df is None:
+            states.append(MISSING)
+        elif not {"plant_id", ts} <= set(df.columns):
+            states.append(NO_COLUMNS)
+        else:
+            states.append(NO_ROWS)
+            rows = select_plants(df, plants).select("plant_id", times.utc_to_local(df, ts, "UTC").alias("utc"))
+            found.append(source_completeness(rows, "utc", bucket, as_of_utc).withColumn("source", F.lit(name)))
+    entries = F.array(*[F.struct(F.lit(name).alias("source"), F.lit(state).alias("_absent")) for name, state in zip(CATALOGUE, states)])
+    grid = plants.select("plant_id", F.inline(entries))
+    measures = ["first_bucket", "last_bucket", "expected_records", "collected_records", "missing_records", "completeness_pct",
+                "days_since_last_data", "freshness", "irregular_minutes"]
+    if found:
+        measured = functools.reduce(DataFrame.unionByName, found).select("plant_id", "source", *measures)
+    else:
+        empty = source_completeness(plants.select("plant_id", F.lit(None).cast("timestamp_ntz").alias("utc")), "utc", 60, as_of_utc)
+        measured = empty.withColumn("source", F.lit(None).cast("string")).select("plant_id", "source", *measures)
+    there = F.col("collected_records").isNotNull()
+    out = grid.join(measured, ["plant_id", "source"], "left").withColumns({
+        "status": F.when(there, AVAILABLE).otherwise(F.col("_absent")),
+        "freshness": F.when(there, F.col("freshness")).when(F.col("_absent") == MISSING, "Missing").otherwise("Unavailable"),
+    })
+    return source_roles(out.select("plant_id", "source", "status", *measures))
+
+
 def source_roles(completeness: DataFrame) -> DataFrame:
     """Role of each source per plant; meters are promoted when the model source is partial or weak.
 
-    Input has one row per plant and source: plant_id, source, completeness_pct.
+    Input has one row per plant and source: plant_id, source, completeness_pct. Where it has a status,
+    only available meters are promoted.
     """
     model = completeness.where(F.col("source") == config.FIVE_MIN).select(
         "plant_id", F.col("completeness_pct").alias("model_pct"))
     partial, weak = F.col("model_pct") < 95, F.col("model_pct") < 70
     meter = F.col("source").isin(config.HOURLY_METER, config.BILLING_METER)
+    if "status" in completeness.columns:
+        meter = meter & (F.col("status") == AVAILABLE)
     base = F.create_map(*[F.lit(x) for pair in ROLES.items() for x in pair])[F.col("source")]
     return completeness.join(model, "plant_id", "left").withColumn(
         "role",

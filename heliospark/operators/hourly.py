@@ -67,10 +67,10 @@ def _target_columns(dense: DataFrame, expected: int, min_pct: float) -> DataFram
     })
 
 
-def hourly_source_diagnostics(five: DataFrame, hourly: DataFrame, plants: DataFrame,
+def hourly_source_diagnostics(five: DataFrame, hourly: DataFrame | None, plants: DataFrame,
                               expected: int = config.EXPECTED_RECORDS_PER_HOUR,
                               min_pct: float = config.MIN_HOURLY_COMPLETENESS_PCT) -> DataFrame:
-    """Candidate target per hour: the 5-minute sum, else the hourly log, with agreement flags."""
+    """Candidate target per hour: the 5-minute sum, else the hourly log if there is one, with agreement flags."""
     readable = F.col("generation_date").isNotNull() & F.col("amount").isNotNull()
     five_rows = last_amounts(five, plants, F.col("amount").isNotNull()).select(
         "plant_id", "generation_date", (F.col("amount") / 1000).alias("kwh"))
@@ -79,12 +79,16 @@ def hourly_source_diagnostics(five: DataFrame, hourly: DataFrame, plants: DataFr
             F.sum("kwh").alias("generation_kwh_5min_raw"), F.count("kwh").alias("records_collected_5min")),
         ["plant_id"], "generation_date", minutes(60)).withColumn(
             "records_collected_5min", F.coalesce("records_collected_5min", F.lit(0)).cast("long"))
-    logged = parse_generation(hourly, plants).where(readable).groupBy(
-        "plant_id", floor_bucket("generation_date", 60).alias("generation_date")).agg(
-            (F.sum("amount") / 1000).alias("generation_kwh_hourly"), F.count("amount").alias("hourly_records"))
+    if hourly is None:
+        both = five_hourly.withColumns({"generation_kwh_hourly": F.lit(None).cast("double"), "hourly_records": F.lit(None).cast("long")})
+    else:
+        logged = parse_generation(hourly, plants).where(readable).groupBy(
+            "plant_id", floor_bucket("generation_date", 60).alias("generation_date")).agg(
+                (F.sum("amount") / 1000).alias("generation_kwh_hourly"), F.count("amount").alias("hourly_records"))
+        both = five_hourly.join(logged, ["plant_id", "generation_date"], "full")
 
     raw, other = F.col("generation_kwh_5min_raw"), F.col("generation_kwh_hourly")
-    merged = five_hourly.join(logged, ["plant_id", "generation_date"], "full").withColumns({
+    merged = both.withColumns({
         "data_completeness_pct": F.col("records_collected_5min") / expected * 100,
     }).withColumns({
         "expected_records_5min": F.when(F.col("records_collected_5min").isNotNull(), F.lit(expected).cast("long")),

@@ -408,3 +408,35 @@ def test_materialized_tables_live_in_the_named_folder(spark):
     df = intermediate.materialize(spark.range(10).withColumn("p", F.col("id") % 2), "numbers", ["p"])
     assert df.columns == ["id", "p"] and df.count() == 10
     assert intermediate.shared_folder(spark) in df.inputFiles()[0]
+
+
+def test_missing_and_unavailable_sources_are_not_promoted(spark, fleet):
+    """All five sources are listed for every plant; a weak model source promotes only meters that are there."""
+    from heliospark import config
+    from heliospark.operators import completeness
+    plants = [r.plant_id for r in fleet.select("plant_id").orderBy("plant_id").collect()]
+    log = spark.createDataFrame([(plants[0], "2024-01-01 00:00:00"), (plants[0], "2024-01-01 05:00:00")], "plant_id long, generation_date string")
+    meter = spark.createDataFrame([(plants[0], "2024-01-01 00:00:00"), (plants[1], "not a time")], "plant_id long, date string")
+    as_of = F.expr("TIMESTAMP_NTZ'2024-01-03 00:00:00'")
+    got = {(r.plant_id, r.source): r for r in completeness.source_status(
+        {config.FIVE_MIN: log, config.HOURLY_METER: meter, config.DAILY_INVERTER: log.drop("generation_date"), config.BILLING_METER: None}, fleet, as_of).collect()}
+    assert len(got) == 5 * len(plants)
+    first = {s: got[plants[0], s] for s in completeness.CATALOGUE}
+    assert {s: r.status for s, r in first.items()} == {
+        config.FIVE_MIN: "Available", config.HOURLY_INVERTER: "Missing file", config.DAILY_INVERTER: "Unavailable: required columns not found",
+        config.HOURLY_METER: "Available", config.BILLING_METER: "Missing file"}
+    assert first[config.FIVE_MIN].role == "Primary model source (partial)" and first[config.FIVE_MIN].expected_records == 61
+    assert first[config.HOURLY_METER].role == "Fallback candidate + confirmation"
+    assert first[config.BILLING_METER].role == "Aggregate meter check" and first[config.BILLING_METER].freshness == "Missing"
+    second = got[plants[1], config.HOURLY_METER]
+    assert (second.status, second.freshness, second.completeness_pct) == ("Unavailable: no rows for selected plant", "Unavailable", None)
+    nothing = completeness.source_status({}, fleet, as_of).collect()
+    assert len(nothing) == 5 * len(plants) and {r.status for r in nothing} == {"Missing file"}
+
+
+def test_diagnosis_without_an_hourly_log(spark, fleet):
+    plant = fleet.first().plant_id
+    five = spark.createDataFrame([(plant, f"2024-01-01 00:{m:02d}:00", "12", m) for m in range(0, 60, 5)],
+                                 "plant_id long, generation_date string, generation_amount string, ingest_seq long")
+    row, = hourly.hourly_source_diagnostics(five, None, fleet).collect()
+    assert (row.target_quality_flag, row.target_is_fallback, row.generation_kwh_hourly, row.hourly_records) == ("5min_primary", False, None, None)
