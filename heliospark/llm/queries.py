@@ -8,6 +8,7 @@ from heliospark.llm import (
     bpe_codec, conversation_repair, license_scan, ngram_join, packing, prefix_trie, quality_rff, simhash, source_mix,
     substring_dedup, token_counts, vector_search, warc)
 from heliospark.llm.shared import read
+from heliospark.llm.sql import ORACLE_SQL  # noqa: F401
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,4 +67,3 @@ def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_token_counts, op3_source_mix, op4_quality_rff, op5_bpe_codec, op6_ngram_jaccard_join,
     op7_warc, op8_vector_search, op9_simhash, op10_substring_dedup, op11_conversation_repair, op12_prefix_trie, op13_packing)}
-ORACLE_SQL: dict[str, str] = {}
