@@ -5,21 +5,23 @@ its hash. The votes of a bit follow from a count of ones. Two counts share one l
 that a hash aggregate adds up inside the task that explodes its words: terms never reach a shuffle, only one row of sums
 for each document does.
 
-The search cuts a fingerprint into radius + 1 blocks; two fingerprints within the radius agree in at least one. There is
-one table for each block, keyed by that block (the permutation that puts it first). Equal fingerprints count as one.
+The search cuts a fingerprint into radius + 2 blocks; two fingerprints within the radius agree in at least two. There is
+one table for each pair of blocks, keyed by both (the permutation that puts them first): 28 tables with keys of 32 bits for
+a radius of 6. Equal fingerprints count as one.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import functools
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from heliospark.llm.shared import keep, text_key
 
 BITS = 128
 BUCKET = 256  # span of doc_ids that share a window
-BUCKETS = 4096  # span of buckets that share a window
-RADIUS = 3
+RADIUS = 6
 _PAIR = (1 << 32) | 1
 
 
@@ -36,7 +38,7 @@ def fingerprints(texts: DataFrame, key: tuple[str, ...]) -> DataFrame:
     votes = [F.sum(F.shiftrightunsigned(h, bit).bitwiseAND(F.lit(_PAIR))).alias(f"{h}_{bit}") for h in ("h1", "h2") for bit in range(32)]
     sums = rows.groupBy(*key).agg(F.count("*").alias("terms"), *votes)
 
-    def signs(h: str) -> F.Column:
+    def signs(h: str) -> Column:
         bits = F.lit(0).cast("long")
         for bit in range(32):
             ones = F.col(f"{h}_{bit}")
@@ -46,15 +48,15 @@ def fingerprints(texts: DataFrame, key: tuple[str, ...]) -> DataFrame:
     return sums.select(*key, signs("h1").alias("high"), signs("h2").alias("low"))
 
 
-def as_text(high: str = "high", low: str = "low") -> F.Column:
+def as_text(high: str = "high", low: str = "low") -> Column:
     return F.lower(F.concat(F.lpad(F.hex(high), 16, "0"), F.lpad(F.hex(low), 16, "0")))
 
 
-def distance(high1, low1, high2, low2) -> F.Column:
+def distance(high1, low1, high2, low2) -> Column:
     return F.bit_count(F.col(high1).bitwiseXOR(F.col(high2))) + F.bit_count(F.col(low1).bitwiseXOR(F.col(low2)))
 
 
-def likeness(high1: str, low1: str, high2: str, low2: str) -> F.Column:
+def likeness(high1: str, low1: str, high2: str, low2: str) -> Column:
     """Share of agreeing bits."""
     return 1 - distance(high1, low1, high2, low2) / F.lit(float(BITS))
 
@@ -64,12 +66,13 @@ def with_next(rows: DataFrame, columns: dict[str, str], order: tuple[str, ...] =
 
     ``columns`` maps new names to columns. Rows meet in windows over short spans of the first order column. The first row
     of a span is also sent to the span above, so no row looks beyond its window; who is above follows from one narrow row
-    per span. A null in the first order column comes last. A lone row is its own next.
+    per span, dealt to tasks by range; only one row per range of spans meets in one window. A null in the first order column comes last. A lone row is its own next.
     """
     lead_key = F.coalesce(order[0], F.lit(-(1 << 63)))
     rows = rows.withColumn("__bucket", F.shiftright(lead_key, BUCKET.bit_length() - 1))
     best = rows.groupBy("__bucket").agg(F.max(F.struct(lead_key.alias("k"), *(F.coalesce(c, F.lit(-(1 << 63))).alias(c) for c in order[1:]))).alias("head"))
-    best = best.withColumn("__over", F.shiftright("__bucket", BUCKETS.bit_length() - 1))
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    best = keep(best.repartitionByRange(parts, "__bucket").withColumn("__over", F.spark_partition_id()), "spans")
     within = Window.partitionBy("__over").orderBy("__bucket")
     overs = best.groupBy("__over").agg(F.min("__bucket").alias("lowest"))
     line = Window.orderBy("__over")
@@ -100,22 +103,36 @@ def within_radius(queries: DataFrame, prints: DataFrame, radius: int = RADIUS) -
     """All fingerprints of ``prints`` within ``radius`` bits of those in ``queries`` (both distinct ``high``, ``low``).
 
     Returns ``high``, ``low`` of the query, ``near_high``, ``near_low`` and ``bits``, equal ones included. A pair is
-    returned by the first block in which it agrees, hence once. Rows with a null are not found.
+    returned by the first two blocks in which it agrees, hence once. Rows with a null are not found.
     """
-    blocks = radius + 1
-    bounds = [BITS * i // blocks for i in range(blocks + 1)]
-    digits = lambda: F.concat(F.lpad(F.conv(F.hex("high"), 16, 2), 64, "0"), F.lpad(F.conv(F.hex("low"), 16, 2), 64, "0"))
-
-    def table(frame, prefix):
-        cut = frame.where("high IS NOT NULL AND low IS NOT NULL").withColumn("__d", digits())
-        cut = cut.select(F.col("high").alias(f"{prefix}high"), F.col("low").alias(f"{prefix}low"),
-                         F.array(*(F.xxhash64(F.substring("__d", a + 1, b - a)) for a, b in zip(bounds, bounds[1:]))).alias(f"{prefix}blocks"))
-        return cut.select("*", F.posexplode(f"{prefix}blocks").alias("block", "value"))
-
-    met = table(queries, "").join(table(prints, "near_"), ["block", "value"])
-    first = F.array_position(F.zip_with("blocks", "near_blocks", lambda x, y: x == y), True) == F.col("block") + 1
-    met = met.where(first).withColumn("bits", distance("high", "low", "near_high", "near_low"))
-    return met.where(F.col("bits") <= radius).select("high", "low", "near_high", "near_low", "bits")
+    n = radius + 2
+    bounds = [BITS * i // n for i in range(n + 1)]
+
+    def blocks(high: Column, low: Column) -> list[Column]:
+        ones = lambda width: F.lit(-1 if width == 64 else (1 << width) - 1).cast("long")
+        out = []
+        for a, b in zip(bounds, bounds[1:]):
+            if b <= 64:
+                out.append(F.shiftrightunsigned(high, 64 - b).bitwiseAND(ones(b - a)))
+            elif a >= 64:
+                out.append(F.shiftrightunsigned(low, BITS - b).bitwiseAND(ones(b - a)))
+            else:
+                out.append(F.shiftleft(high.bitwiseAND(ones(64 - a)), b - 64).bitwiseOR(F.shiftrightunsigned(low, BITS - b)))
+        return out
+
+    def tables(frame: DataFrame, prefix: str) -> DataFrame:
+        cut = blocks(F.col("high"), F.col("low"))
+        keys = [F.struct(F.lit(1 << i | 1 << j).alias("table"), F.xxhash64(cut[i], cut[j]).alias("value")) for j in range(n) for i in range(j)]
+        return frame.where("high IS NOT NULL AND low IS NOT NULL").select(
+            F.col("high").alias(f"{prefix}high"), F.col("low").alias(f"{prefix}low"), F.inline(F.array(*keys)))
+
+    met = tables(queries, "").join(tables(prints, "near_"), ["table", "value"])
+    met = met.withColumn("bits", distance("high", "low", "near_high", "near_low")).where(F.col("bits") <= radius)
+    unlike = blocks(F.col("high").bitwiseXOR(F.col("near_high")), F.col("low").bitwiseXOR(F.col("near_low")))
+    met = met.withColumn("agree", functools.reduce(Column.bitwiseOR, (F.when(x == 0, 1 << i).otherwise(0) for i, x in enumerate(unlike))))
+    lowest = lambda bits: F.col(bits).bitwiseAND(-F.col(bits))
+    met = met.withColumn("rest", F.col("agree").bitwiseXOR(lowest("agree")))
+    return met.where(lowest("agree").bitwiseOR(lowest("rest")) == F.col("table")).select("high", "low", "near_high", "near_low", "bits")
 
 
 def fingerprint_report(docs: DataFrame, radius: int = RADIUS, query_step: int = 50) -> DataFrame:

@@ -196,17 +196,27 @@ def test_next_row_wraps_and_skips_gaps(spark):
     assert got == {d: f"t{line[(i + 1) % len(line)]}" for i, d in enumerate(line)}
 
 
-def test_search_within_a_radius_is_exact(spark):
+@pytest.mark.parametrize("radius", [0, 3, simhash.RADIUS])
+def test_search_within_a_radius_is_exact(spark, radius):
     random = np.random.default_rng(1)
     values = [int.from_bytes(random.bytes(16), "big") for _ in range(60)]
     for v in values[:40]:
-        flips = random.choice(128, random.integers(1, 6), replace=False)
+        flips = random.choice(128, random.integers(1, 10), replace=False)
         values.append(v ^ sum(1 << int(b) for b in flips))
     rows = [tuple(int.from_bytes(v.to_bytes(16, "big")[s:s + 8], "big", signed=True) for s in (0, 8)) for v in values]
     df = spark.createDataFrame(rows, "high long, low long").distinct()
-    got = {tuple(r) for r in simhash.within_radius(df, df, 3).select("high", "low", "near_high", "near_low").collect()}
-    want = {(*rows[i], *rows[j]) for i, x in enumerate(values) for j, y in enumerate(values) if bin(x ^ y).count("1") <= 3}
-    assert got == want
+    got = [tuple(r) for r in simhash.within_radius(df, df, radius).select("high", "low", "near_high", "near_low").collect()]
+    want = {(*rows[i], *rows[j]) for i, x in enumerate(values) for j, y in enumerate(values) if bin(x ^ y).count("1") <= radius}
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_next_rows_of_sparse_ids(spark):
+    """Ids far apart: every span holds one row, and no window holds more than one range of spans."""
+    random = np.random.default_rng(4)
+    ids = sorted({int(i) for i in random.integers(-2**60, 2**60, 300)}, reverse=True)
+    rows = spark.createDataFrame([(i, i % 1000) for i in ids], "doc_id long, tkey long").repartition(3)
+    got = {r.doc_id: r.after for r in simhash.with_next(rows, {"after": "doc_id"}).collect()}
+    assert got == dict(zip(ids, ids[1:] + ids[:1]))
 
 
 def test_fingerprints_stay_in_the_jvm(small):
