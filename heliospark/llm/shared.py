@@ -160,19 +160,22 @@ def signed(h: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
 
 
-def only(docs: DataFrame, keys: DataFrame) -> DataFrame:
+def only(docs: DataFrame, keys: DataFrame, also: tuple[str, ...] = ()) -> DataFrame:
     """One row of ``docs`` for each (doc_id, tkey) of ``keys`` (columns doc_id, tkey, rows: how many rows of docs have it, and others).
 
-    Rows of ``docs`` equal in doc_id and text count once. Further columns of ``keys`` are added. Keys that only one row has,
-    nearly all, need no look at their neighbours.
+    Rows of ``docs`` equal in doc_id and text count once; with ``also``, columns of both, only if they agree in these too.
+    Further columns of ``keys`` are added. Keys that only one row has, nearly all, need no look at their neighbours.
     """
-    keyed, extra = docs.withColumn("__tkey", text_key()), [c for c in keys.columns if c not in ("doc_id", "tkey", "rows")]
+    keyed, extra = docs.withColumn("__tkey", text_key()), [c for c in keys.columns if c not in ("doc_id", "tkey", "rows", *also)]
 
     def part(chosen: DataFrame) -> DataFrame:
-        chosen = chosen.select(F.col("doc_id").alias("__id"), F.col("tkey").alias("__key"), *extra)
-        return keyed.join(chosen, keyed["doc_id"].eqNullSafe(chosen["__id"]) & (keyed["__tkey"] == chosen["__key"])).drop("__id", "__key")
+        chosen = chosen.select(F.col("doc_id").alias("__id"), F.col("tkey").alias("__key"), *(F.col(c).alias(f"__also_{c}") for c in also), *extra)
+        match = keyed["doc_id"].eqNullSafe(chosen["__id"]) & (keyed["__tkey"] == chosen["__key"])
+        for c in also:
+            match &= keyed[c].eqNullSafe(chosen[f"__also_{c}"])
+        return keyed.join(chosen, match).drop("__id", "__key", *(f"__also_{c}" for c in also))
     several = keep(keys.where("rows > 1"), "several")
-    return part(keys.where("rows = 1")).union(part(several).dropDuplicates(["doc_id", "__tkey"])).drop("__tkey")
+    return part(keys.where("rows = 1")).union(part(several).dropDuplicates(["doc_id", "__tkey", *also])).drop("__tkey")
 
 
 _REMEMBERED = [_powers]

@@ -86,7 +86,10 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MO
 
 
 def repeated(docs: DataFrame, mixed: DataFrame) -> DataFrame:
-    """The mix itself: every document as often as ``mixed`` (a result of mix over ``docs``) says, with all columns of ``docs``."""
-    times = keep(mixed.groupBy("doc_id", "tkey").agg(F.count("*").alias("rows"), F.sum("copies").cast("int").alias("__copies")).where("__copies > 0"), "copies")
-    found = only(docs, times).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
+    """The mix itself: every document as often as ``mixed`` (a result of mix over ``docs``) says, with all columns of ``docs``.
+
+    Rows equal in doc_id, text and source share their copies; which of their other columns a copy shows is not defined.
+    """
+    times = keep(mixed.groupBy("doc_id", "tkey", "source").agg(F.count("*").alias("rows"), F.sum("copies").cast("int").alias("__copies")).where("__copies > 0"), "copies")
+    found = only(docs, times, also=("source",)).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
     return found.select(*(F.col(f"`{c}`") for c in docs.columns))

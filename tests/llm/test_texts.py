@@ -231,3 +231,12 @@ def test_licences_inside_files(spark):
     exact = got[len(files) + 1]
     assert exact.first_words == [len(license_scan.normalised(filler))] and exact.n_words == [len(license_scan.normalised(license_scan.TEMPLATES["CC-BY-NC-4.0-notice"]))]
 
+
+
+def test_equal_rows_of_two_sources_keep_their_own_copies(spark):
+    rows = [(7, "same words here", s) for s in ("a", "a", "b", None)] + [(i, f"filler {i} of b " * 3, "b") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    mixed = source_mix.mix(docs)
+    want = {(r.doc_id, r.source): r.n for r in mixed.groupBy("doc_id", "source").agg(F.sum("copies").alias("n")).where("n > 0").collect()}
+    got = {(r.doc_id, r.source): r["count"] for r in source_mix.repeated(docs, mixed).groupBy("doc_id", "source").count().collect()}
+    assert got == want
