@@ -7,7 +7,7 @@
    shuffle.
 3. Prefix entries meet by shingle. Within a shingle's group each class is paired with the group's first and with its
    neighbour in size; length and position bounds drop pairs. Remaining pairs are distinct, pass the suffix bound and are
-   verified once on the whole texts.
+   verified once on the whole texts. Only texts of such pairs are shuffled: a bit filter of fixed size drops most others.
 4. Links so far give components. Only shingle groups that still span several components can hide a link that matters:
    there, pairs from different components are generated in bounded blocks and verified: first a few partners for each
    class, which joins most components, then all pairs that are left. What of a prefix no other prefix
@@ -38,6 +38,7 @@ SLICES = 16
 RANGES = 256
 HOT_GROUP = 50_000  # documents in a counter for each salt of a shingle
 BLOCK = 1_000  # classes that meet at once in a group that spans components
+FILTER_BITS = 27  # fixed: 2^27 bits, 16 MB, at every input size
 _FULL = 65_535  # a range that holds this many or more
 PARTNERS = 6  # partners of a class in each shingle before all pairs are tried
 SEEN_CLASSES = 500_000
@@ -365,10 +366,51 @@ def _one_of_repeated(docs: DataFrame, repeated: DataFrame) -> DataFrame:
     return docs.join(repeated, same, "left_anti").union(docs.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "tkey"]))
 
 
-def _links(pairs: DataFrame, classes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+def _bit(tkey: np.ndarray) -> np.ndarray:
+    return tkey.view(np.uint64) >> np.uint64(64 - FILTER_BITS)
+
+
+def _bits(batches):
+    """Bits of the texts that one task reads, in slices without empty ones."""
+    bits = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
+    for batch in batches:
+        at = _bit(batch.column("tkey").to_numpy())
+        np.bitwise_or.at(bits, at >> np.uint64(3), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
+    for i, piece in enumerate(np.split(bits, SLICES)):
+        if piece.any():
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([piece.tobytes()], pa.binary())], names=["slice", "bits"])
+
+
+def _has_bit(path: str):
+    @tidy
+    def run(batches):
+        bits = np.zeros((SLICES, (1 << (FILTER_BITS - 3)) // SLICES), np.uint8)
+        for batch in batches_of(path):
+            for i, blob in zip(batch.column("slice").to_pylist(), batch.column("bits")):
+                bits[i] |= np.frombuffer(blob.as_buffer(), np.uint8)
+        bits = bits.reshape(-1)
+        for batch in batches:
+            at = _bit(batch.column("tkey").to_numpy())
+            yield batch.filter(pa.array((bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)))
+    return run
+
+
+def with_keys(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose ``tkey`` is among ``keys``, and a few others: texts that no pair needs are dropped before a shuffle.
+
+    The bits are set by ranges of keys and read by tasks from the shared folder.
+    """
+    path = fresh_path(docs.sparkSession, "filter")
+    wanted = keys.select("tkey").distinct().repartition(SLICES, F.shiftrightunsigned("tkey", 60))
+    wanted.mapInArrow(_bits, "slice int, bits binary").write.parquet(path)
+    return docs.mapInArrow(_has_bit(path), docs.schema)
+
+
+def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, repeated: DataFrame, width: int, percent: int) -> DataFrame:
     side = lambda s: classes.select(F.col("cls").alias(s), F.col("doc_id").alias(f"doc_{s}"), F.col("tkey").alias(f"tkey_{s}"), F.col("ranges").alias(f"ranges_{s}"))
     found = pairs.distinct().join(side("a"), "a").join(side("b"), "b")
-    found = found.mapInArrow(_suffix_fits(percent), "a long, b long, doc_a long, tkey_a long, doc_b long, tkey_b long")
+    found = keep(found.mapInArrow(_suffix_fits(percent), "a long, b long, doc_a long, tkey_a long, doc_b long, tkey_b long"), "pairs")
+    texts = _one_of_repeated(with_keys(docs, found.select(F.explode(F.array("tkey_a", "tkey_b")).alias("tkey"))), repeated)
 
     def with_text(found, s):
         text = texts.select(F.col("doc_id").alias("__id"), F.col("tkey").alias("__key"), F.col("text").alias(f"text_{s}"))
@@ -416,7 +458,7 @@ def labelled_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
         .select("cls", "d.doc_id", "d.tkey", "ranges"), "classes")
 
     several = per_doc.groupBy(F.col("doc_id").alias("__id"), F.col("tkey").alias("__key")).agg(F.count("*").alias("rows")).where("rows > 1")
-    texts = _one_of_repeated(keyed, keep(several.select("__id", "__key"), "repeated"))
+    repeated = keep(several.select("__id", "__key"), "repeated")
 
     postings = keyed.select("text").mapInArrow(_prefixes(counts, width, percent), _POSTING)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -426,7 +468,7 @@ def labelled_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     heads = met.where("kind = 3").select("token", "a")
     across = heads.join(heads.groupBy("token").agg(F.min("a").alias("b")), "token").where("a <> b")
     first = _links(met.where("kind = 1").select("a", "b").union(across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))),
-                   classes, texts, width, percent)
+                   classes, keyed, repeated, width, percent)
     # an upper bound of the overlap with any set that is not larger; a larger one may hold more of the prefix in its suffix
     shared = met.where("kind = 4").groupBy("a").agg(F.sum("n").alias("shared"))
     prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
@@ -435,13 +477,13 @@ def labelled_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     labels = _labels(first)
     some = _spread(opened, labels, classes).select("token", "own", "a", "n", "pos", "comp", "most", "ranges")
     some = some.repartition(parts, "token", "own").sortWithinPartitions("token", "own").mapInArrow(_some(percent, PARTNERS), "a long, b long")
-    second = labels.union(_links(some, classes, texts, width, percent))
+    second = labels.union(_links(some, classes, keyed, repeated, width, percent))
     labels = _labels(second)
     blocks = _spread(opened, labels, classes).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     blocks = blocks.select("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "a", "n", "pos", "comp", "most", "ranges")
     rest = (blocks.repartition(parts, "token", "i", "j").sortWithinPartitions("token", "i", "j")
             .mapInArrow(_cross(percent), "a long, b long"))
-    whole = components(labels.union(_links(rest, classes, texts, width, percent)))
+    whole = components(labels.union(_links(rest, classes, keyed, repeated, width, percent)))
 
     named = (classes.select("cls", "doc_id").join(whole.withColumnRenamed("node", "cls"), "cls", "left")
              .withColumn("label", F.coalesce("label", "cls")))

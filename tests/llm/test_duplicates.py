@@ -45,6 +45,20 @@ def test_near_copies_that_only_chain(spark, monkeypatch):
     assert _groups(df) == brute.similar_groups(rows)
 
 
+def test_only_texts_of_pairs_are_moved(spark, monkeypatch):
+    """Verification gets each text that a pair needs, and few others, before it shuffles them."""
+    base = [f"w{i}" for i in range(60)]
+    rows = [(d, " ".join(base[:60 - d])) for d in range(3)] + [(1, " ".join(base[:59])), (None, " ".join(base + ["x"])), (3, None), (4, "")]
+    rows += [(d, " ".join(f"v{d}x{i}" for i in range(60))) for d in range(10, 300)]
+    df, moved = spark.createDataFrame(rows, "doc_id long, text string").repartition(4), []
+    plain = ngram_join._one_of_repeated
+    monkeypatch.setattr(ngram_join, "_one_of_repeated", lambda docs, repeated: moved.append(sorted(map(_key, docs.select("doc_id", "text").collect()))) or plain(docs, repeated))
+    groups = {(r.doc_id, r.component_id) for r in ngram_join.similar_groups(df).collect()}
+    assert {g for g in groups if g[0] is None or g[0] < 3} == {(0, 0), (1, 0), (2, 0), (None, 0)}
+    needed = sorted(map(_key, rows[:5]))
+    assert [k for k in moved[0] if k in needed] == needed and len(moved[0]) < 10
+
+
 @pytest.mark.parametrize("own", [20, 7])
 def test_a_base_and_many_longer_versions(spark, own):
     """Versions link with their base only, which lies beyond the prefixes that versions share with each other."""
