@@ -17,6 +17,7 @@ from heliospark.functions.labels import agreement_flag, control_interpretation
 from heliospark.functions.numbers import guarded_corr, numeric, numeric_amount, ratio
 from heliospark.functions.times import floor_bucket, utc_to_local
 from heliospark.operators.cleaning import select_plants, with_plant_name
+from heliospark.sources.intermediate import materialize
 
 METER_COLUMNS = ["plant_id", "meter_id", "meter_reading", "date"]
 
@@ -126,8 +127,12 @@ def weak_days(agreement: DataFrame, fleet: DataFrame,
 
 
 def filter_source_agreement(df: DataFrame, agreement: DataFrame, fleet: DataFrame) -> DataFrame:
-    """Drop rows that fall on weak days."""
-    weak = weak_days(agreement, fleet)
+    """Drop rows that fall on weak days.
+
+    Weak days are written first: this join's test for dates that are not null would be pushed to the scans of the logs
+    and parse every text again there, several times over.
+    """
+    weak = materialize(weak_days(agreement, fleet), "weak-days")
     day = F.col("generation_date").cast("date")
     return df.withColumn("date", day).join(weak, ["plant_id", "date"], "left_anti").drop("date")
 

@@ -440,3 +440,17 @@ def test_diagnosis_without_an_hourly_log(spark, fleet):
                                  "plant_id long, generation_date string, generation_amount string, ingest_seq long")
     row, = hourly.hourly_source_diagnostics(five, None, fleet).collect()
     assert (row.target_quality_flag, row.target_is_fallback, row.generation_kwh_hourly, row.hourly_records) == ("5min_primary", False, None, None)
+
+
+def test_source_agreement_filter_does_not_parse_again(spark):
+    """Weak days are a written table: no test for null dates reaches the scan of a log, where it would parse each text again."""
+    fleet = spark.createDataFrame([(1, "One", None), (2, "Two", 5.0)], "plant_id long, plant_name string, max_ratio_difference double")
+    logs = [spark.createDataFrame([(p, f"2024-01-{d:02d} 12:00:00", str(a * f)) for p in (1, 2) for d, a in ((1, 900_000), (2, 800_000)) for f in (fs[d - 1],)],
+                                  "plant_id long, generation_date string, generation_amount string") for fs in ((1, 1), (1, 3))]
+    parts = [daily.daily_log_rows(df, fleet, s, 1000.0) for df, s in zip(logs, (config.FIVE_MIN, config.DAILY_INVERTER))]
+    empty = {s: F.lit(None).cast("double") for s in config.DAILY_SOURCES[1:] if s != config.DAILY_INVERTER}
+    agreement = daily.daily_agreement(daily.align_daily_sources(parts, [config.FIVE_MIN, config.DAILY_INVERTER]).withColumns(empty), fleet)
+    hours = spark.createDataFrame([(p, dt.datetime(2024, 1, d, 3)) for p in (1, 2) for d in (1, 2)] + [(1, None)], "plant_id long, generation_date timestamp_ntz")
+    kept = daily.filter_source_agreement(hours, agreement, fleet)
+    assert "regexp" not in kept._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert sorted((r.plant_id, r.generation_date.day if r.generation_date else 0) for r in kept.collect()) == [(1, 0), (1, 1), (2, 1), (2, 2)]
