@@ -24,6 +24,7 @@ BINS = 64
 BLOCK = 25  # trees of a forest that one task grows
 CHUNK = 5_000  # rows that walk through trees at once
 NODES = 1_000  # nodes whose histograms are held at once
+FEW = 200  # rows whose columns are summed in one call
 _TINY = 1e-300
 
 MODEL_SCHEMA = ("plant_id long, kind string, block int, trees int, n long, base double, coefficients array<double>, roots array<int>, feature array<int>, "
@@ -50,24 +51,43 @@ def edges_of(x: np.ndarray, bins: int = BINS) -> np.ndarray:
 
 
 def binned(x: np.ndarray, edges: list[np.ndarray]) -> np.ndarray:
-    return np.column_stack([np.searchsorted(e, x[:, f], "left") for f, e in enumerate(edges)]).astype(np.uint8)
+    return np.column_stack([np.searchsorted(e, x[:, f], "left") for f, e in enumerate(edges)]).astype(np.uint8, order="F")
+
+
+def _histograms(bins, columns, rows, node, k, weight, pull):
+    """Sums of weights and of gradients for each node, column and bin; rows are added in their order."""
+    size, w, g = (k, len(columns), BINS), weight[rows], pull[rows]
+    if len(rows) <= FEW:
+        key = ((node[:, None] * len(columns) + np.arange(len(columns))) * BINS + bins[rows][:, columns]).ravel()
+        return tuple(np.bincount(key, np.repeat(v, len(columns)), np.prod(size)).reshape(size) for v in (w, g))
+    lw, lg, first = np.empty(size), np.empty(size), node * BINS
+    for i, column in enumerate(columns):  # one column's sums fit the processor's caches
+        key = first + bins[:, column][rows]
+        lw[:, i], lg[:, i] = (np.bincount(key, v, k * BINS).reshape(k, BINS) for v in (w, g))
+    return lw, lg
 
 
 def _best_splits(bins, columns, rows, local, some, k, weight, pull, total_w, total_g, whole, min_leaf, penalty):
-    """Feature (-1: none), bin and gain of the best split of some nodes, from one histogram over all their rows and columns."""
+    """Feature (-1: none), bin and gain of the best split of some nodes, from one histogram over all their rows and columns.
+
+    Gains are taken only at bins that hold rows of the node: an empty bin splits as the one before it does.
+    """
     place = np.full(k, -1)
     place[some] = np.arange(len(some))
     mine = np.flatnonzero((place[local] >= 0) & (weight[rows] > 0))
-    held, size = rows[mine], (len(some), len(columns), BINS)
-    key = ((place[local[mine]][:, None] * len(columns) + np.arange(len(columns))) * BINS + bins[held][:, columns]).ravel()
-    lw = np.bincount(key, np.repeat(weight[held], len(columns)), np.prod(size)).reshape(size).cumsum(2)
-    lg = np.bincount(key, np.repeat(pull[held], len(columns)), np.prod(size)).reshape(size).cumsum(2)
-    rw, rg = total_w[some][:, None, None] - lw, total_g[some][:, None, None] - lg
+    lw, lg = _histograms(bins, columns, rows[mine], place[local[mine]], len(some), weight, pull)
+    full = np.flatnonzero(lw)
+    lw, lg = lw.cumsum(2).ravel()[full], lg.cumsum(2).ravel()[full]
+    of = full // (len(columns) * BINS)
+    rw, rg = total_w[some][of] - lw, total_g[some][of] - lg
     least = max(min_leaf, 1e-9)
-    gain = lg ** 2 / np.maximum(lw + penalty, _TINY) + rg ** 2 / np.maximum(rw + penalty, _TINY) - whole[some][:, None, None]
-    gain = np.where((lw >= least) & (rw >= least), gain, -np.inf).reshape(len(some), -1)
-    at, each = gain.argmax(1), np.arange(len(some))
-    top, good = gain[each, at], gain[each, at] > 1e-10 + 1e-12 * whole[some]
+    gain = lg ** 2 / np.maximum(lw + penalty, _TINY) + rg ** 2 / np.maximum(rw + penalty, _TINY) - whole[some][of]
+    gain = np.where((lw >= least) & (rw >= least), gain, -np.inf)
+    first = np.searchsorted(of, np.arange(len(some)))  # a node that may split holds rows
+    top = np.maximum.reduceat(gain, first)
+    tops = np.flatnonzero(gain == top[of])
+    at = full[tops[np.searchsorted(of[tops], np.arange(len(some)))]] % (len(columns) * BINS)
+    good = top > 1e-10 + 1e-12 * whole[some]
     return np.where(good, columns[at // BINS], -1), at % BINS, np.where(good, top, 0.0)
 
 

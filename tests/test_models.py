@@ -82,6 +82,20 @@ def test_histograms_in_parts_give_the_same_tree(monkeypatch):
     assert all((whole[0][k] == parts[0][k]).all() for k in whole[0]) and (whole[1] == parts[1]).all()
 
 
+@pytest.mark.parametrize("columns", [[0, 1, 2], [0, 2]])
+def test_histograms_by_column_give_the_same_tree(monkeypatch, columns):
+    """Many rows are summed column by column, few in one call: trees are equal to the last bit."""
+    x, y = _data(400, 5)
+    bins = trees.binned(x, [trees.edges_of(x[:, f]) for f in range(3)])
+    weight = np.bincount(np.random.default_rng(2).integers(0, 400, 400), minlength=400).astype(float)
+    found = []
+    for few in (0, 1_000):
+        monkeypatch.setattr(trees, "FEW", few)
+        found.append(trees.grow(bins, y, weight, columns, 12, 2, 1, 1.0))
+    (a, node_a, gains_a), (b, node_b, gains_b) = found
+    assert len(a["feature"]) > 20 and all((a[k] == b[k]).all() for k in a) and (node_a == node_b).all() and (gains_a == gains_b).all()
+
+
 def test_boosting_equals_a_plain_one():
     x, y = _data(120, 5)
     params = trees.settings("boosting", {"maxIter": 6, "maxDepth": 3})
